@@ -36,12 +36,23 @@ def activity_counts(acts: DataFrame) -> DataFrame:
     )
 
 
-def _summaries() -> list[Column]:
-    return [
-        _count_of("checkout").alias("num_checkouts"),
-        _count_of("click").alias("num_clicks"),
-        F.collect_list(F.struct("activity_ts", "activity_type", "activity_id")).alias("items"),
-    ]
+def _windowed(acts: DataFrame, gap: str, *keys: str) -> DataFrame:
+    """One row per keys and session window, with its activities collected.
+
+    The bounds are aggregates and not the window's own start and end: Catalyst takes filters on those for
+    filters on a grouping key and moves them below the merging of sessions, where they are wrong.
+    """
+    return (
+        acts.groupBy(*keys, F.session_window("activity_ts", gap))
+        .agg(
+            F.min("activity_ts").alias("session_start"),
+            (F.max("activity_ts") + interval(gap)).alias("session_end"),
+            _count_of("checkout").alias("num_checkouts"),
+            _count_of("click").alias("num_clicks"),
+            F.collect_list(F.struct("activity_ts", "activity_type", "activity_id")).alias("items"),
+        )
+        .drop("session_window")
+    )
 
 
 def _report(sessions: DataFrame, placeholder: str | None) -> DataFrame:
@@ -70,11 +81,7 @@ def session_activity(
     """
     if not acts.isStreaming:
         return _report(_sliced_sessions(acts, gap, slice_gaps), placeholder)
-    sessions = acts.groupBy(F.session_window("activity_ts", gap).alias("w"), "user_id").agg(*_summaries())
-    return _report(
-        sessions.withColumn("session_start", F.col("w.start")).withColumn("session_end", F.col("w.end")),
-        placeholder,
-    )
+    return _report(_windowed(acts, gap, "user_id"), placeholder)
 
 
 def _sliced_sessions(acts: DataFrame, gap: str, slice_gaps: int) -> DataFrame:
@@ -87,13 +94,8 @@ def _sliced_sessions(acts: DataFrame, gap: str, slice_gaps: int) -> DataFrame:
     """
     gap_seconds = duration_seconds(gap)
     width = gap_seconds * slice_gaps
-    pieces = (
-        acts.withColumn("slice", F.floor(F.unix_seconds("activity_ts") / width))
-        .groupBy("user_id", "slice", F.session_window("activity_ts", gap).alias("w"))
-        .agg(*_summaries())
-        .withColumn("session_start", F.col("w.start"))
-        .withColumn("session_end", F.col("w.end"))
-    )
+    sliced = acts.withColumn("slice", F.floor(F.unix_seconds("activity_ts") / width))
+    pieces = _windowed(sliced, gap, "user_id", "slice")
     slice_start = F.timestamp_seconds(F.col("slice") * width)
     slice_end = F.timestamp_seconds((F.col("slice") + 1) * width)
     at_border = (F.col("session_start") < slice_start + interval(gap)) | (F.col("session_end") >= slice_end)
