@@ -38,18 +38,20 @@ def hot_keys(df: DataFrame, keys: list[str], share: float = HOT_SHARE, min_rows:
     summary = (
         hashed.groupBy((F.spark_partition_id() % _SKETCH_GROUPS).alias("g"))
         .agg(F.expr(f"approx_top_k_accumulate(h, {tracked})").alias("sketch"), F.count("*").alias("n"))
+        # One group, but none for empty input, where combining no sketches at all would fail.
+        .groupBy(F.lit(0))
         .agg(
             F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch, {tracked}), {top})").alias("items"),
             F.sum("n").alias("total"),
         )
         .first()
     )
-    if not summary or not summary["total"]:
+    if summary is None:
         return {}
     target = max(summary["total"] * share, min_rows)
     return {
         entry["item"]: ceil(entry["count"] / target)
-        for entry in summary["items"] or []
+        for entry in summary["items"]
         if entry["count"] >= target and ceil(entry["count"] / target) > 1
     }
 
