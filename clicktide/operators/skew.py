@@ -39,7 +39,7 @@ def hot_keys(df: DataFrame, keys: list[str], share: float = HOT_SHARE, min_rows:
         hashed.groupBy((F.spark_partition_id() % _SKETCH_GROUPS).alias("g"))
         .agg(F.expr(f"approx_top_k_accumulate(h, {tracked})").alias("sketch"), F.count("*").alias("n"))
         # One group, but none for empty input, where combining no sketches at all would fail.
-        .groupBy(F.lit(0))
+        .groupBy(F.lit("all"))
         .agg(
             F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch, {tracked}), {top})").alias("items"),
             F.sum("n").alias("total"),
