@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from clicktide.functions.eventtime import duration_seconds, interval
 from clicktide.functions.lists import activity_list
+from clicktide.operators.skew import HOT_MIN_ROWS, HOT_SHARE, hot_keys
 
 # Length of a batch time slice, in session gaps.
 SLICE_GAPS = 64
@@ -72,16 +73,23 @@ def session_activity(
     gap: str = "10 seconds",
     placeholder: str | None = "null",
     slice_gaps: int = SLICE_GAPS,
+    hot_share: float = HOT_SHARE,
+    hot_min_rows: int = HOT_MIN_ROWS,
 ) -> DataFrame:
     """Per user and session: bounds, counts and id lists of checkouts and clicks.
 
     A session ends ``gap`` after its last activity; activities exactly ``gap`` apart share a session.
-    Streams use one session window per user. Batch input, where one user may hold a large part of all
-    history, is cut into time slices first; see _sliced_sessions.
+    Users are sessionized in one shuffle by user. In batch input, users holding a large share of all
+    history are told apart first and their history is cut into time slices; see _sliced_sessions. A
+    stream's micro-batch is bounded by its source's rate limit and holds open sessions only.
     """
-    if not acts.isStreaming:
-        return _report(_sliced_sessions(acts, gap, slice_gaps), placeholder)
-    return _report(_windowed(acts, gap, "user_id"), placeholder)
+    hot = [] if acts.isStreaming else list(hot_keys(acts, ["user_id"], hot_share, hot_min_rows, True))
+    if not hot:
+        return _report(_windowed(acts, gap, "user_id"), placeholder)
+    is_hot = F.xxhash64("user_id").isin(hot)
+    cold_sessions = _windowed(acts.where(~is_hot), gap, "user_id")
+    hot_sessions = _sliced_sessions(acts.where(is_hot), gap, slice_gaps)
+    return _report(cold_sessions.unionByName(hot_sessions), placeholder)
 
 
 def _sliced_sessions(acts: DataFrame, gap: str, slice_gaps: int) -> DataFrame:

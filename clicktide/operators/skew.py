@@ -19,22 +19,32 @@ from math import ceil
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot from this share of its side on; so a side has at most 1 / HOT_SHARE hot keys.
-HOT_SHARE = 1 / 512
+# A key is hot from this share of its side on; so a side has at most 1 / HOT_SHARE hot keys. Smaller
+# groups are of the order of an average shuffle partition.
+HOT_SHARE = 1 / 2048
 # Groups below this many rows fit one task whatever their share.
 HOT_MIN_ROWS = 1_000_000
 # Sketches are merged in this many tasks first, then in one.
 _SKETCH_GROUPS = 256
 
 
-def hot_keys(df: DataFrame, keys: list[str], share: float = HOT_SHARE, min_rows: int = HOT_MIN_ROWS) -> dict[int, int]:
+def hot_keys(
+    df: DataFrame,
+    keys: list[str],
+    share: float = HOT_SHARE,
+    min_rows: int = HOT_MIN_ROWS,
+    with_nulls: bool = False,
+) -> dict[int, int]:
     """Hash of each hot key -> number of parts its rows are to be dealt into.
 
-    Returns at most ``1 / share`` entries, whatever the size of ``df``.
+    Returns at most ``1 / share`` entries, whatever the size of ``df``. Rows with a NULL key, which an
+    inner join drops, count only when ``with_nulls``.
     """
     top = ceil(1 / share)
+    # The sketch misses no key above 3.5 / tracked of the rows.
     tracked = 4 * top
-    hashed = df.dropna(subset=keys).select(F.xxhash64(*keys).alias("h"))
+    counted = df if with_nulls else df.dropna(subset=keys)
+    hashed = counted.select(F.xxhash64(*keys).alias("h"))
     summary = (
         hashed.groupBy((F.spark_partition_id() % _SKETCH_GROUPS).alias("g"))
         .agg(F.expr(f"approx_top_k_accumulate(h, {tracked})").alias("sketch"), F.count("*").alias("n"))
@@ -73,7 +83,7 @@ def split_hot_groups(
     position). ``keep_left`` forbids copies of left rows, as a left outer join needs. Returns both
     sides and the condition to add to the join, None when nothing is hot.
     """
-    left_parts = hot_keys(left, left_keys, share, min_rows)
+    left_parts = hot_keys(left, left_keys, share, min_rows, with_nulls=keep_left)
     right_parts = {} if keep_left else hot_keys(right, right_keys, share, min_rows)
     if not left_parts and not right_parts:
         return left, right, None

@@ -153,6 +153,16 @@ def test_dealt_hot_group_is_spread(spark):
     assert pairs.select("l", "r").distinct().count() == 50_000
 
 
+def test_hot_null_users_spread_in_a_left_join(spark):
+    checkouts = with_event_time(
+        frame(spark, "checkouts", [checkout(f"k{i}", None, 5, offset=i) for i in range(50)] + [checkout("k", "u", 5)]),
+        "1 hour")
+    clicks = with_event_time(frame(spark, "clicks", [click("c", "u", 0), click("n", None, 0)]), "1 hour")
+    out = interval_join(checkouts, clicks, how="left", hot_share=0.1, hot_min_rows=5)
+    assert "_left_i" in _plan(out)
+    assert rows(out.select("checkout_id", "click_id")) == Counter([(f"k{i}", None) for i in range(50)] + [("k", "c")])
+
+
 def test_salted_join_meets_every_pair_once(spark):
     left = spark.range(200).select((F.col("id") % 7).alias("lk"), F.col("id").alias("l"))
     right = spark.range(21).select((F.col("id") % 7).alias("rk"), F.col("id").alias("r"))
@@ -266,9 +276,10 @@ def test_null_users_form_one_group_and_null_ids_leave_no_token(spark):
 
 def test_session_bounds_can_be_filtered(spark):
     acts = [("u", "click", "a", 0), ("u", "click", "b", 8), ("u", "click", "c", 16)]
-    sessions = _sessions(spark, acts)
-    assert sessions.where(F.col("session_start") > F.lit(at(5))).count() == 0
-    assert sessions.where(F.col("session_end") == F.lit(at(26))).count() == 1
+    for tuning in ({}, {"slice_gaps": 1, "hot_share": 0.5, "hot_min_rows": 1}):
+        sessions = _sessions(spark, acts, **tuning)
+        assert sessions.where(F.col("session_start") > F.lit(at(5))).count() == 0
+        assert sessions.where(F.col("session_end") == F.lit(at(26))).count() == 1
 
 
 @pytest.mark.parametrize("slice_gaps", [1, 3, 64])
@@ -278,15 +289,18 @@ def test_sliced_sessions_equal_brute_force(spark, slice_gaps, data):
     event = st.tuples(
         st.sampled_from(["u", "u", "u", "v", None]), st.sampled_from(["click", "checkout"]), st.integers(0, 300))
     acts = [(u, k, f"{k[1]}{i}", s) for i, (u, k, s) in enumerate(data.draw(st.lists(event, min_size=1, max_size=70)))]
-    result = rows(_sessions(spark, acts, slice_gaps=slice_gaps))
-    assert result == session_rows(acts, 10)
+    # Users with a fifth of the rows or more are sliced, the others are not.
+    result = rows(_sessions(spark, acts, slice_gaps=slice_gaps, hot_share=0.2, hot_min_rows=1))
+    assert result == session_rows(acts, 10) == rows(_sessions(spark, acts))
     for row in result:
         assert len(row[4].split(",")) == len(row[6].split(",")) == row[3] + row[5]
 
 
 def test_long_session_over_many_slices(spark):
     acts = [("u", "click", f"c{s:04d}", s) for s in range(0, 3000, 7)]
-    assert rows(_sessions(spark, acts, slice_gaps=2)) == session_rows(acts, 10)
+    sliced = _sessions(spark, acts, slice_gaps=2, hot_share=0.5, hot_min_rows=1)
+    assert "slice" in _plan(sliced)
+    assert rows(sliced) == session_rows(acts, 10)
 
 
 def test_union_and_counts(spark):
