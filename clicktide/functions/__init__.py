@@ -5,13 +5,14 @@ from clicktide.functions.eventtime import (
     processing_time,
     with_event_time,
 )
-from clicktide.functions.lists import activity_list
+from clicktide.functions.lists import joined_list, list_item
 
 __all__ = [
-    "activity_list",
     "duration_seconds",
     "event_timestamp",
     "interval",
+    "joined_list",
+    "list_item",
     "processing_time",
     "with_event_time",
 ]

@@ -1,4 +1,4 @@
-"""Ordered string lists over collected activities."""
+"""Ordered string lists of a group's activities."""
 
 from __future__ import annotations
 
@@ -6,18 +6,31 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def activity_list(items: Column, activity_type: str, placeholder: str | None) -> Column:
-    """Comma-joined ids of one activity type, in (time, type, id) order.
+def _token(activity_type: str, placeholder: str | None) -> Column:
+    chosen = F.when(F.col("activity_type") == activity_type, F.col("activity_id"))
+    return chosen if placeholder is None else chosen.otherwise(F.lit(placeholder))
 
-    ``items`` is an array of structs (activity_ts, activity_type, activity_id). Activities of another
-    type leave ``placeholder`` in the list, so both lists of a session have one token per activity;
-    with ``placeholder=None`` they leave nothing. NULL ids are skipped. A list with no token at all is
-    NULL, or the empty string when there is no placeholder.
+
+def list_item(placeholder: str | None) -> Column:
+    """What one activity adds to its group's lists, in a struct that sorts by (time, type, id).
+
+    An activity leaves its id in the list of its own type and ``placeholder`` in the other's, so both
+    lists have one token per activity; with ``placeholder=None`` it leaves nothing there.
     """
-    def token(item: Column) -> Column:
-        chosen = F.when(item["activity_type"] == activity_type, item["activity_id"])
-        return chosen.otherwise(F.lit(placeholder)) if placeholder is not None else chosen
+    return F.struct(
+        "activity_ts",
+        "activity_type",
+        _token("checkout", placeholder).alias("checkout"),
+        _token("click", placeholder).alias("click"),
+    )
+
 
-    tokens = F.filter(F.transform(F.array_sort(items), token), lambda t: t.isNotNull())
+def joined_list(items: Column, activity_type: str, placeholder: str | None) -> Column:
+    """The comma-joined tokens of one type, in order. NULL ids leave no token.
+
+    A list with no token at all is NULL, or the empty string when there is no placeholder. Only
+    built-in functions without lambdas, which stay in generated code.
+    """
+    tokens = F.sort_array(items).getField(activity_type)
     joined = F.array_join(tokens, ",")
-    return joined if placeholder is None else F.when(F.size(tokens) > 0, joined)
+    return joined if placeholder is None else F.when(F.array_max(tokens).isNotNull(), joined)

@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clicktide.functions.eventtime import duration_seconds, interval
-from clicktide.functions.lists import activity_list
-from clicktide.operators.skew import HOT_MIN_ROWS, HOT_SHARE, hot_keys
+from clicktide.functions.lists import joined_list, list_item
+from clicktide.operators.skew import HOT_MIN_ROWS, HOT_SHARE, Side, hot_keys
 
 # Length of a batch time slice, in session gaps.
 SLICE_GAPS = 64
@@ -37,34 +37,55 @@ def activity_counts(acts: DataFrame) -> DataFrame:
     )
 
 
-def _windowed(acts: DataFrame, gap: str, *keys: str) -> DataFrame:
-    """One row per keys and session window, with its activities collected.
+def _summary(gap: str, placeholder: str | None) -> list[Column]:
+    return [
+        (F.max("activity_ts") + interval(gap)).alias("session_end"),
+        _count_of("checkout").alias("num_checkouts"),
+        _count_of("click").alias("num_clicks"),
+        F.collect_list(list_item(placeholder)).alias("items"),
+    ]
+
+
+def _stream_sessions(acts: DataFrame, gap: str, placeholder: str | None) -> DataFrame:
+    """One row per user and session window of a stream.
 
     The bounds are aggregates and not the window's own start and end: Catalyst takes filters on those for
     filters on a grouping key and moves them below the merging of sessions, where they are wrong.
     """
     return (
-        acts.groupBy(*keys, F.session_window("activity_ts", gap))
-        .agg(
-            F.min("activity_ts").alias("session_start"),
-            (F.max("activity_ts") + interval(gap)).alias("session_end"),
-            _count_of("checkout").alias("num_checkouts"),
-            _count_of("click").alias("num_clicks"),
-            F.collect_list(F.struct("activity_ts", "activity_type", "activity_id")).alias("items"),
-        )
+        acts.groupBy(F.session_window("activity_ts", gap), "user_id")
+        .agg(F.min("activity_ts").alias("session_start"), *_summary(gap, placeholder))
         .drop("session_window")
     )
 
 
+def _batch_sessions(acts: DataFrame, gap: str, placeholder: str | None, keys: list[str]) -> DataFrame:
+    """One row per keys and session: a session opens where the gap to the row before is too long.
+
+    One shuffle and one sort by the keys serve the window and the grouping.
+    """
+    in_order = Window.partitionBy(*keys).orderBy("activity_ts")
+    previous = F.lag("activity_ts").over(in_order)
+    opens = previous.isNull() | (F.col("activity_ts") > previous + interval(gap))
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (
+        acts.where(F.col("activity_ts").isNotNull())
+        .withColumn("opening", F.when(opens, F.col("activity_ts")))
+        .withColumn("session_start", F.max("opening").over(so_far))
+        .groupBy(*keys, "session_start")
+        .agg(*_summary(gap, placeholder))
+    )
+
+
 def _report(sessions: DataFrame, placeholder: str | None) -> DataFrame:
     return sessions.select(
         "user_id",
         "session_start",
         "session_end",
         "num_checkouts",
-        activity_list(F.col("items"), "checkout", placeholder).alias("list_checkouts"),
+        joined_list(F.col("items"), "checkout", placeholder).alias("list_checkouts"),
         "num_clicks",
-        activity_list(F.col("items"), "click", placeholder).alias("list_clicks"),
+        joined_list(F.col("items"), "click", placeholder).alias("list_clicks"),
     )
 
 
@@ -83,27 +104,31 @@ def session_activity(
     history are told apart first and their history is cut into time slices; see _sliced_sessions. A
     stream's micro-batch is bounded by its source's rate limit and holds open sessions only.
     """
-    hot = [] if acts.isStreaming else list(hot_keys(acts, ["user_id"], hot_share, hot_min_rows, True))
+    if acts.isStreaming:
+        return _report(_stream_sessions(acts, gap, placeholder), placeholder)
+    hot = list(hot_keys([Side(acts, ["user_id"], with_nulls=True)], hot_share, hot_min_rows)[0])
     if not hot:
-        return _report(_windowed(acts, gap, "user_id"), placeholder)
+        return _report(_batch_sessions(acts, gap, placeholder, ["user_id"]), placeholder)
     is_hot = F.xxhash64("user_id").isin(hot)
-    cold_sessions = _windowed(acts.where(~is_hot), gap, "user_id")
-    hot_sessions = _sliced_sessions(acts.where(is_hot), gap, slice_gaps)
-    return _report(cold_sessions.unionByName(hot_sessions), placeholder)
+    cold = _batch_sessions(acts.where(~is_hot), gap, placeholder, ["user_id"])
+    sliced = _sliced_sessions(acts.where(is_hot), gap, placeholder, slice_gaps)
+    return _report(cold.select(sliced.columns).unionByName(sliced), placeholder)
 
 
-def _sliced_sessions(acts: DataFrame, gap: str, slice_gaps: int) -> DataFrame:
-    """Session windows per (user, time slice), then joined up across slice borders.
+def _sliced_sessions(acts: DataFrame, gap: str, placeholder: str | None, slice_gaps: int) -> DataFrame:
+    """Sessions per (user, time slice), then joined up across slice borders.
 
     Keying the shuffle by user and slice spreads a hot user over tasks. A piece further than one gap
     from both borders of its slice is a whole session. Only the pieces at a border go on: their bounds
-    (two timestamps per piece) are chained per user to find each one's session start, and the pieces
-    are then gathered per session.
+    (two timestamps per piece, at most two pieces per user and slice) are chained per user to find each
+    one's session start, and the pieces are then gathered per session.
     """
     gap_seconds = duration_seconds(gap)
     width = gap_seconds * slice_gaps
     sliced = acts.withColumn("slice", F.floor(F.unix_seconds("activity_ts") / width))
-    pieces = _windowed(sliced, gap, "user_id", "slice")
+    # The branches below infer this filter or not; stated here, they read the same shuffle once.
+    sliced = sliced.where(F.col("slice").isNotNull())
+    pieces = _batch_sessions(sliced, gap, placeholder, ["user_id", "slice"])
     slice_start = F.timestamp_seconds(F.col("slice") * width)
     slice_end = F.timestamp_seconds((F.col("slice") + 1) * width)
     at_border = (F.col("session_start") < slice_start + interval(gap)) | (F.col("session_end") >= slice_end)

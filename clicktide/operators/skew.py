@@ -14,6 +14,8 @@ split, never the result.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import reduce
 from math import ceil
 
 from pyspark.sql import Column, DataFrame
@@ -28,42 +30,48 @@ HOT_MIN_ROWS = 1_000_000
 _SKETCH_GROUPS = 256
 
 
-def hot_keys(
-    df: DataFrame,
-    keys: list[str],
-    share: float = HOT_SHARE,
-    min_rows: int = HOT_MIN_ROWS,
-    with_nulls: bool = False,
-) -> dict[int, int]:
-    """Hash of each hot key -> number of parts its rows are to be dealt into.
+@dataclass
+class Side:
+    """One input of an equi-join, or the only input of a grouping.
+
+    Rows with a NULL key, which an inner join drops, count only when ``with_nulls``.
+    """
+
+    df: DataFrame
+    keys: list[str]
+    with_nulls: bool = False
+
+    def hashes(self, label: int) -> DataFrame:
+        counted = self.df if self.with_nulls else self.df.dropna(subset=self.keys)
+        return counted.select(F.lit(label).alias("side"), F.xxhash64(*self.keys).alias("h"))
+
+
+def hot_keys(sides: list[Side], share: float = HOT_SHARE, min_rows: int = HOT_MIN_ROWS) -> list[dict[int, int]]:
+    """For each side: hash of each hot key -> number of parts its rows are to be dealt into.
 
-    Returns at most ``1 / share`` entries, whatever the size of ``df``. Rows with a NULL key, which an
-    inner join drops, count only when ``with_nulls``.
+    One job for all sides. Gives at most ``1 / share`` entries per side, whatever the input's size.
     """
     top = ceil(1 / share)
     # The sketch misses no key above 3.5 / tracked of the rows.
     tracked = 4 * top
-    counted = df if with_nulls else df.dropna(subset=keys)
-    hashed = counted.select(F.xxhash64(*keys).alias("h"))
-    summary = (
-        hashed.groupBy((F.spark_partition_id() % _SKETCH_GROUPS).alias("g"))
+    hashes = reduce(DataFrame.unionByName, [side.hashes(i) for i, side in enumerate(sides)])
+    summaries = (
+        hashes.groupBy("side", (F.spark_partition_id() % _SKETCH_GROUPS).alias("g"))
         .agg(F.expr(f"approx_top_k_accumulate(h, {tracked})").alias("sketch"), F.count("*").alias("n"))
-        # One group, but none for empty input, where combining no sketches at all would fail.
-        .groupBy(F.lit("all"))
+        .groupBy("side")
         .agg(
             F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch, {tracked}), {top})").alias("items"),
             F.sum("n").alias("total"),
         )
-        .first()
+        .collect()
     )
-    if summary is None:
-        return {}
-    target = max(summary["total"] * share, min_rows)
-    return {
-        entry["item"]: ceil(entry["count"] / target)
-        for entry in summary["items"]
-        if entry["count"] >= target and ceil(entry["count"] / target) > 1
-    }
+    found: list[dict[int, int]] = [{} for _ in sides]
+    for summary in summaries:
+        target = max(summary["total"] * share, min_rows)
+        for entry in summary["items"]:
+            if entry["count"] > target:
+                found[summary["side"]][entry["item"]] = ceil(entry["count"] / target)
+    return found
 
 
 def split_hot_groups(
@@ -83,8 +91,10 @@ def split_hot_groups(
     position). ``keep_left`` forbids copies of left rows, as a left outer join needs. Returns both
     sides and the condition to add to the join, None when nothing is hot.
     """
-    left_parts = hot_keys(left, left_keys, share, min_rows, with_nulls=keep_left)
-    right_parts = {} if keep_left else hot_keys(right, right_keys, share, min_rows)
+    sides = [Side(left, left_keys, with_nulls=keep_left)]
+    if not keep_left:
+        sides.append(Side(right, right_keys))
+    left_parts, right_parts = (hot_keys(sides, share, min_rows) + [{}])[:2]
     if not left_parts and not right_parts:
         return left, right, None
     # At most 2 / share rows, so this table may be broadcast.

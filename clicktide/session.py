@@ -20,6 +20,8 @@ RUNTIME_CONF = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # Keep a stream join's four stores in one per partition.
+    "spark.sql.streaming.join.stateFormatVersion": "3",
     # Merge a user's sessions inside each map task before they are shuffled.
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }

@@ -21,7 +21,7 @@ from clicktide.operators import (
     session_activity,
     tumbling_counts,
 )
-from clicktide.operators.skew import hot_keys, salt_all, split_hot_groups
+from clicktide.operators.skew import Side, hot_keys, salt_all, split_hot_groups
 from clicktide.plans import checkout_clicks, enrich, product_clicks, user_sessions
 
 SOME = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
@@ -134,11 +134,14 @@ def test_hot_keys_finds_the_heavy_group_only(spark):
     df = spark.range(30_000).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"))
     hot_hash = df.select(F.xxhash64(F.lit("hot"))).first()[0]
-    found = hot_keys(df, ["k"], share=1 / 64, min_rows=100)
-    assert list(found) == [hot_hash]
+    side = Side(df, ["k"])
+    found, empty = hot_keys([side, Side(df.limit(0), ["k"])], share=1 / 64, min_rows=100)
+    assert list(found) == [hot_hash] and empty == {}
     assert found[hot_hash] >= 64 // 3
-    assert hot_keys(df, ["k"], share=1 / 64) == {}
-    assert hot_keys(df.limit(0), ["k"], share=1 / 64, min_rows=1) == {}
+    assert hot_keys([side], share=1 / 64) == [{}]
+    nulls = df.select(F.nullif("k", F.lit("hot")).alias("k"))
+    assert hot_keys([Side(nulls, ["k"])], share=1 / 64, min_rows=100) == [{}]
+    assert len(hot_keys([Side(nulls, ["k"], with_nulls=True)], share=1 / 64, min_rows=100)[0]) == 1
 
 
 def test_dealt_hot_group_is_spread(spark):
