@@ -9,7 +9,7 @@ from clicktide.operators.skew import HOT_MIN_ROWS, HOT_SHARE, salt_all, split_ho
 
 # A dimension is broadcast up to this measured size.
 BROADCAST_LIMIT = 256 * 1024 * 1024
-# Cells per product when a streaming side meets a dimension too large to broadcast.
+# Cells per product when a streaming side meets a dimension of unknown or large size.
 STREAM_SALTS = 8
 
 
@@ -32,9 +32,13 @@ def lookup_join(
     """Events with ``product_name, product_description, product_price`` of their product.
 
     Inner join on ``product_id``: events with an unknown or NULL product are dropped, and a product
-    listed twice gives two rows. The dimension is broadcast only when its size, measured here unless
-    the caller already knows it, is within ``broadcast_limit``; beyond it both sides are shuffled, with
-    the rows of hot products dealt over several tasks.
+    listed twice gives two rows.
+
+    The dimension is broadcast only when its size is known to be within ``broadcast_limit``:
+    ``products_bytes`` when the caller has measured it, else, for batch events, measured here. Beyond
+    the limit both sides are shuffled, with the rows of hot products dealt over several tasks. Streaming
+    events meet a dimension that is read anew for each micro-batch and may grow, so without
+    ``products_bytes`` nothing is broadcast by force and every product's rows are dealt.
     """
     dimension = products.select(
         F.col("product_id").alias("_product_key"),
@@ -42,10 +46,10 @@ def lookup_join(
         F.col("description").alias("product_description"),
         F.col("price").alias("product_price"),
     )
-    if products_bytes is None:
+    if products_bytes is None and not events.isStreaming:
         products_bytes = measured_bytes(dimension)
     same_product = F.col("product_id") == F.col("_product_key")
-    if products_bytes <= broadcast_limit:
+    if products_bytes is not None and products_bytes <= broadcast_limit:
         joined = events.join(F.broadcast(dimension), same_product, "inner")
     elif events.isStreaming:
         left, right, same_cell = salt_all(events, dimension, events.columns, STREAM_SALTS)

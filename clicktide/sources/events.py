@@ -17,12 +17,16 @@ AVRO_FRAME_BYTES = 5
 Decoder = Callable[[Column, str], Column]
 
 
+def frame_body(value: Column) -> Column:
+    """The Avro bytes behind the registry frame."""
+    return F.substring(value, AVRO_FRAME_BYTES + 1, 2**31 - 1)
+
+
 def decode_framed_avro(value: Column, kind: str) -> Column:
     """Registry-framed Avro bytes -> struct of the event's fields. Needs the spark-avro package."""
     from pyspark.sql.avro.functions import from_avro
 
-    body = F.substring(value, AVRO_FRAME_BYTES + 1, 2**31 - 1)
-    return from_avro(body, schemas.avro_schema(kind), {"mode": "FAILFAST"})
+    return from_avro(frame_body(value), schemas.avro_schema(kind), {"mode": "FAILFAST"})
 
 
 def decode_topic(raw: DataFrame, kind: str, decode: Decoder = decode_framed_avro) -> DataFrame:

@@ -6,6 +6,7 @@ from clicktide.streaming.sinks import (
     ensure_batch_table,
     ensure_table,
     jdbc_append,
+    merge_batches,
     overwrite_batch,
 )
 from clicktide.streaming.supervise import await_all, rows_dropped_late
@@ -18,6 +19,7 @@ __all__ = [
     "ensure_batch_table",
     "ensure_table",
     "jdbc_append",
+    "merge_batches",
     "overwrite_batch",
     "publish_events",
     "rows_dropped_late",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -36,6 +37,16 @@ def ensure_table(
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({_columns(schema)}) USING {using}")
 
 
+def _publish_view(spark: SparkSession, table: str, names: list[str], merged: int) -> None:
+    """Show the merged partitions up to batch ``merged`` and the single batches after it."""
+    columns = ", ".join(f"`{n}`" for n in names)
+    spark.sql(
+        f"CREATE OR REPLACE VIEW {table} TBLPROPERTIES ('merged_batches' = '{merged}') AS "
+        f"SELECT {columns} FROM {table}_batches "
+        f"WHERE batch_id > {merged} OR (batch_id < 0 AND batch_id >= {-merged - 1})"
+    )
+
+
 def ensure_batch_table(
     spark: SparkSession, table: str, schema: T.StructType, using: str = "parquet", warehouse: str | None = None
 ) -> None:
@@ -45,8 +56,42 @@ def ensure_batch_table(
         f"CREATE TABLE IF NOT EXISTS {table}_batches ({_columns(schema)}, batch_id bigint) "
         f"USING {using} PARTITIONED BY (batch_id)"
     )
-    names = ", ".join(f"`{n}`" for n in schema.names)
-    spark.sql(f"CREATE VIEW IF NOT EXISTS {table} AS SELECT {names} FROM {table}_batches")
+    if not spark.catalog.tableExists(table):
+        _publish_view(spark, table, schema.names, merged=-1)
+
+
+def merge_batches(spark: SparkSession, table: str) -> None:
+    """Rewrite the single micro-batches of a batch table, all but the newest, as one partition.
+
+    Keeps the number of partitions and small files in bounds; to be run now and then, by one process at a
+    time, beside the running stream, which only ever writes the newest batch. Replacing the view is the
+    one step that counts: a run that fails before it changed nothing readers see, and the next run first
+    drops what it left.
+    """
+    batches = f"{table}_batches"
+    properties = {row["key"]: row["value"] for row in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    merged = int(properties["merged_batches"])
+    ids = [int(row["partition"].partition("=")[2]) for row in spark.sql(f"SHOW PARTITIONS {batches}").collect()]
+    closed = sorted(i for i in ids if i > merged)[:-1]
+    stale = [i for i in ids if i < -merged - 1 or 0 <= i <= merged]
+    for batch_id in stale:
+        spark.sql(f"ALTER TABLE {batches} DROP IF EXISTS PARTITION (batch_id = {batch_id})")
+    if not closed:
+        return
+    last = closed[-1]
+    names = spark.table(table).columns
+    rows = spark.table(batches).where((F.col("batch_id") > merged) & (F.col("batch_id") <= last))
+    # Rebalanced to files of advisory size.
+    merged_rows = rows.select(*names, F.lit(-last - 1).cast("bigint").alias("batch_id")).hint("rebalance")
+    # Only a dynamic overwrite may read the table it writes to.
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        merged_rows.write.insertInto(batches, overwrite=True)
+    finally:
+        spark.conf.set(mode, before)
+    _publish_view(spark, table, names, last)
 
 
 def overwrite_batch(df: DataFrame, table: str, batch_id: int) -> None:

@@ -24,7 +24,7 @@ from clicktide.operators import (
 from clicktide.operators.skew import Side, hot_keys, salt_all, split_hot_groups
 from clicktide.plans import checkout_clicks, enrich, product_clicks, user_sessions
 
-SOME = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+SOME = settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
 
 
 def products(spark, *more):

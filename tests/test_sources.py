@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from clicktide import schemas, session
 from clicktide.plans.config import JobConfig, config_from
 from clicktide.sources import DimensionSnapshot, read_dimension, read_events, register_views, uuid_ranges
-from clicktide.sources.events import decode_topic
-from clicktide.streaming.publish import topic_records
+from clicktide.sources.events import decode_framed_avro, decode_topic
+from clicktide.streaming.publish import encode_framed_avro, topic_records
 
 
 def as_json(event, kind):
@@ -47,6 +47,20 @@ def test_published_records_decode_to_the_same_events(spark, kind, row):
     assert bytes(raw.first()["key"]) == b"u"
 
 
+def test_avro_values_carry_the_registry_frame(spark, monkeypatch):
+    """The Avro package is not at hand, so JSON stands in for the bytes inside the frame."""
+    monkeypatch.setattr("pyspark.sql.avro.functions.to_avro", lambda event, schema: F.to_json(event).cast("binary"))
+    monkeypatch.setattr(
+        "pyspark.sql.avro.functions.from_avro",
+        lambda body, schema, options: F.from_json(body.cast("string"), schemas.CLICKS))
+    events = frame(spark, "clicks", [click("c", "u", 1.5)])
+    values = topic_records(events, "clicks", encode_framed_avro(258))
+    assert bytes(values.first()["value"])[:6] == b"\x00\x00\x00\x01\x02{"
+    decoded = values.select(decode_framed_avro(F.col("value"), "clicks").alias("e")).select("e.*")
+    assert decoded.columns == schemas.CLICKS.names
+    assert rows(decoded) == rows(events.select(schemas.CLICKS.names))
+
+
 def test_files_replay_as_batch_and_stream(spark, work_dir):
     path = f"{work_dir}/clicks"
     spark.createDataFrame([click("c", "u", 1)], stored_schema("clicks")).write.parquet(path)

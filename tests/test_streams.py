@@ -7,6 +7,7 @@ import pytest
 from fixtures import at, checkout, click, rows, stored_schema
 
 from clicktide import schemas
+from clicktide.operators import lookup_join
 from clicktide.plans import checkout_clicks, enrich, product_clicks, user_sessions
 from clicktide.plans.config import JobConfig
 from clicktide.sources import read_events
@@ -15,6 +16,7 @@ from clicktide.streaming import (
     await_all,
     create_zones,
     ensure_batch_table,
+    merge_batches,
     overwrite_batch,
     rows_dropped_late,
 )
@@ -179,6 +181,19 @@ def test_enrichment_sees_new_products_and_keeps_old_rows(replay):
     assert rows(table.select("click_id", "product_name")) == Counter([("c1", "one"), ("c3", "two"), ("c4", "renamed")])
 
 
+def test_lookup_join_of_a_stream_with_a_static_dimension(replay, spark):
+    replay.products(("p1", "one", "d", "$1"), ("p1", "one again", "d", "$1"))
+    replay.add("clicks", click("c1", "u", 0, "p1"), click("c2", "u", 0, "p2"))
+    joined = lookup_join(replay.config.events(spark, "clicks"), replay.config.products(spark))
+    query = (
+        joined.writeStream.format("memory").queryName("looked_up").trigger(availableNow=True)
+        .option("checkpointLocation", f"{replay.folder}/looked_up").start()
+    )
+    query.awaitTermination()
+    assert rows(spark.table("looked_up").select("click_id", "product_name")) == Counter(
+        [("c1", "one"), ("c1", "one again")])
+
+
 def test_a_batch_run_again_replaces_its_first_try(replay, spark):
     table = replay.config.table("again", "rows")
     schema = schemas.USERS
@@ -191,6 +206,37 @@ def test_a_batch_run_again_replaces_its_first_try(replay, spark):
     assert rows(spark.table(table)) == Counter([("c", "1")])
 
 
+def test_merging_batches_keeps_the_rows_and_survives_a_crash(replay, spark):
+    table = replay.config.table("merge", "users")
+    ensure_batch_table(spark, table, schemas.USERS, warehouse=replay.config.warehouse)
+    expected = Counter()
+
+    def write(batch_id):
+        overwrite_batch(spark.createDataFrame([(f"u{batch_id}", "n")], schemas.USERS), table, batch_id)
+        expected[(f"u{batch_id}", "n")] += 1
+
+    def partitions():
+        return {int(r["partition"].partition("=")[2]) for r in spark.sql(f"SHOW PARTITIONS {table}_batches").collect()}
+
+    merge_batches(spark, table)
+    for batch_id in range(4):
+        write(batch_id)
+    merge_batches(spark, table)
+    assert rows(spark.table(table)) == expected
+    write(4)
+    # A run that stops before it replaces the view leaves a partition nobody reads.
+    spark.sql(f"INSERT OVERWRITE TABLE {table}_batches PARTITION (batch_id = -4) SELECT 'u3', 'n'")
+    assert rows(spark.table(table)) == expected
+    write(5)
+    merge_batches(spark, table)
+    ensure_batch_table(spark, table, schemas.USERS, warehouse=replay.config.warehouse)
+    assert rows(spark.table(table)) == expected
+    merge_batches(spark, table)
+    assert partitions() == {-3, -5, 5}
+    assert rows(spark.table(table)) == expected
+    assert spark.table(table).columns == schemas.USERS.names
+
+
 def test_batch_append_adds_by_position(replay, spark):
     table = replay.config.table("batch", "users")
     df = spark.createDataFrame([("u", "name")], "x string, y string")
