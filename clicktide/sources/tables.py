@@ -9,7 +9,11 @@ from clicktide import schemas
 from clicktide.functions.eventtime import processing_time
 
 def events_table(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
-    """The whole events table, as a batch or replayed as a file stream."""
+    """The whole events table, as a batch or replayed as a file stream.
+
+    The stream takes all files as one micro-batch: they have no known order in event time, and rows of
+    an earlier time in a later batch would be dropped as late.
+    """
     if stream:
         # File streams take folders and patterns, not a single file's path.
         return spark.readStream.schema(schemas.EVENTS_TABLE).parquet(f"{sf_dir}/events.parque[t]")
@@ -23,7 +27,7 @@ def _text(column: str) -> Column:
 def _shape(events: DataFrame, kind: str, event_type: str, fields: dict[str, Column]) -> DataFrame:
     fields = {
         "user_id": _text("user_id"),
-        "product_id": F.get_json_object("props", "$.k"),
+        "product_id": F.col("product"),
         "event_time": F.unix_micros(F.col("ts").cast("timestamp")) / 1e6,
         "enqueued_at": F.col("ts").cast("timestamp"),
         "partition_id": F.lit(0).cast("bigint"),
@@ -33,14 +37,15 @@ def _shape(events: DataFrame, kind: str, event_type: str, fields: dict[str, Colu
         **fields,
     }
     names = schemas.EVENTS[kind].names + schemas.METADATA.names + schemas.PROC_TIME.names
-    return events.where(F.col("event_type") == event_type).select([fields[n].alias(n) for n in names])
+    typed = events.where(F.col("event_type") == event_type)
+    return typed.withColumn("product", F.get_json_object("props", "$.k")).select([fields[n].alias(n) for n in names])
 
 
 def clicks_of(events: DataFrame) -> DataFrame:
     """Events of type ``click`` as click events."""
     return _shape(events, "clicks", "click", {
         "click_id": _text("event_id"),
-        "product_url": F.concat(F.lit("https://shop.example/p/"), F.get_json_object("props", "$.k")),
+        "product_url": F.concat(F.lit("https://shop.example/p/"), F.col("product")),
         "user_agent": F.concat(F.lit("agent-"), _text("user_id")),
         "ip": F.concat(F.lit("ip-"), _text("user_id")),
     })
