@@ -19,6 +19,12 @@ from clicktide.sources import register_views
 from clicktide.sources.tables import checkouts_of, clicks_of, events_table, products_of, users_of
 from clicktide.streaming import append_stream, append_table
 
+try:  # The training-data operators come as a package of their own, which may be left out.
+    import corpus_pipeline
+    from clicktide.llm import queries as llm_queries
+except ImportError:
+    corpus_pipeline = llm_queries = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 # ---- inputs --------------------------------------------------------------------------------------
@@ -230,7 +236,9 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     """One entry per operator; each takes (spark, sf_dir)."""
+    llm = {} if llm_queries is None else {**llm_queries.queries(), "pipeline": corpus_pipeline.run}
     return {
+        **llm,
         "clicks_event_time": clicks_event_time,
         "checkouts_event_time": checkouts_event_time,
         "products_dimension": products_dimension,
@@ -353,6 +361,7 @@ def oracle_sql() -> dict[str, str]:
     pairs_1h, pairs_24h = _interval_sql("1 HOUR"), _interval_sql("24 HOURS")
     tumbling_5s, sessions_6h = _tumbling_sql("5 SECONDS"), _session_sql("6 HOURS")
     return {
+        **({} if llm_queries is None else llm_queries.oracle_sql()),
         "clicks_event_time": _with("SELECT * FROM clicks"),
         "checkouts_event_time": _with("SELECT * FROM checkouts"),
         "products_dimension": _with("SELECT * FROM products"),
