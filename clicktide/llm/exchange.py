@@ -40,6 +40,11 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small(df: DataFrame, rows: int) -> DataFrame:
+    """Marked for broadcast if it has at most so many (narrow) rows; left to a shuffle join otherwise."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def blocks_of(docs: DataFrame, keep: dict[str, object], block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, int]:
     """``keep`` columns, the text as bytes (null: empty) and the block of every row; the number of blocks.
 

@@ -22,7 +22,7 @@ from clicktide.llm import bytegrams
 from clicktide.llm.bytegrams import CONTEXT
 from clicktide.llm.exchange import (
     ASKED, BLOCK_BYTES, REPLIES, asked_rows, block_number, blocks_of, counts_of, pieces, replies_in_order,
-    sharded_counts, written,
+    sharded_counts, small, written,
 )
 
 # Ids of trusted documents are broadcast up to this many (8 bytes each), and joined by shuffle beyond.
@@ -30,7 +30,7 @@ BROADCAST_IDS = 4_000_000
 LOW, HIGH, SLACK = 0.005, 0.995, 1.3
 # A class with fewer set-aside documents uses its language's thresholds.
 LEAST_IN_CLASS = 40
-MEASURED = "row_id string, doc_id long, lang string, trusted boolean, aside boolean, n_symbols long, perplexity double"
+MEASURED = "row_id long, doc_id long, lang string, trusted boolean, aside boolean, n_symbols long, perplexity double"
 
 
 class Order:
@@ -184,8 +184,7 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
 def perplexities(docs: DataFrame, trusted: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Each row's perplexity per byte; ``aside`` rows are trusted ones that the model has not seen."""
     ids = trusted.select(F.col("doc_id").alias("_trusted")).distinct()
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
+    ids = small(ids, BROADCAST_IDS)
     flagged = docs.join(ids, docs["doc_id"] == ids["_trusted"], "left")
     rows, n_blocks = blocks_of(flagged, {
         "row_id": row_id(docs), "doc_id": F.col("doc_id"), "lang": F.col("lang"),
@@ -204,8 +203,7 @@ def perplexities(docs: DataFrame, trusted: DataFrame, block_bytes: int = BLOCK_B
 
 def row_id(docs: DataFrame) -> object:
     """Identity of a row by its contents: repeated rows share it and are decided alike."""
-    return F.sha2(F.to_json(F.struct(
-        F.col("doc_id").alias("d"), F.col("lang").alias("l"), F.col("text").alias("t"))), 256)
+    return F.xxhash64(docs["doc_id"], docs["lang"], F.coalesce(docs["text"], F.lit("")))
 
 
 def size_class(n: object) -> object:

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clicktide.llm import ctw, quality, substrings
+from clicktide.llm import (
+    ctw, minhash, mixing, packing, quality, revisits, substrings, syncmers, token_counts, topk,
+)
 from clicktide.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,14 +19,47 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens per line of every document."""
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"))
+
+
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_shingles", "component_id", "kept")
+
+
+def op5_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+def op8_revisit_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's revisit; headers as sorted ``name=value`` text."""
+    found = revisits.resolve(revisits.captures_of(table(spark, sf_dir, "pages")))
+    pairs = F.transform(F.map_entries("headers"), lambda e: F.concat_ws("=", e["key"], e["value"]))
+    return found.withColumn("headers", F.array_join(F.array_sort(pairs), ";"))
+
+
+def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every tenth document, by the checksum of its id, is held out of the training."""
     docs = table(spark, sf_dir, "documents")
@@ -34,11 +69,92 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_retrieval_packing": op1_retrieval_packing,
+        "op2_token_counts": op2_token_counts,
         "op3_quality_classifier": op3_quality_classifier,
+        "op4_minhash_near_dedup": op4_minhash_near_dedup,
+        "op5_syncmer_fingerprints": op5_syncmer_fingerprints,
         "op6_substring_dedup": op6_substring_dedup,
+        "op7_source_mixing": op7_source_mixing,
+        "op8_revisit_resolution": op8_revisit_resolution,
+        "op9_exact_top_k": op9_exact_top_k,
         "op10_lm_scoring": op10_lm_scoring,
     }
 
 
+_WORD = r"'[^\x20\x09-\x0D]+'"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_NEAR_DEDUP = f"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWER}, {_WORD}) AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE
+        WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+        WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS x FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.x = b.x AND a.doc_id <> b.doc_id
+      GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 75 * (na.n + nb.n - c)),
+r(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+m AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a)
+SELECT m.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, m.doc_id = component_id AS kept
+FROM m LEFT JOIN n ON n.doc_id = m.doc_id"""
+
+_SUBSTRINGS = f"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), {_WORD}) AS w FROM documents),
+win AS (SELECT doc_id, i, array_to_string(w[i:i + 34], ' ') AS k
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35)),
+rep AS (SELECT k FROM win GROUP BY k HAVING count(*) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS p FROM win SEMI JOIN rep USING (k)),
+words AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS p, unnest(w) AS x FROM d),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(x, ' ' ORDER BY p) AS t FROM words ANTI JOIN gone USING (doc_id, p)
+         GROUP BY doc_id)
+SELECT d.doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)"""
+
+_TOP_K = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * cast(x AS double))) AS x FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, cast(list_dot_product(q.x, c.x) AS bigint) AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, cast(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS integer) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20"""
+
+_URL = "'^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)([^?#]*)([?][^#]*)?(#.*)?$'"
+_REVISITS = f"""
+WITH p AS (SELECT page_id, trim(url) AS u, coalesce(html, '') AS html FROM pages),
+h AS (SELECT *, regexp_extract(u, {_URL}, 1) AS host, regexp_replace(regexp_extract(u, {_URL}, 2), '/+$', '') AS path,
+             substr(regexp_extract(u, {_URL}, 3), 2) AS query FROM p),
+c AS (SELECT *, CASE WHEN regexp_matches(u, {_URL}) THEN
+          lower(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+            host, '^.*@', ''), '^(?i)www[0-9]*[.]', ''), ':(80|443)?$', ''), '[.]$', ''))
+          || CASE WHEN path = '' THEN '/' ELSE path END
+          || CASE WHEN query = '' THEN '' ELSE '?' || array_to_string(list_sort(string_split(query, '&')), '&') END
+        ELSE u END AS url,
+        '"' || md5(html) || '"' AS tag, 'day ' || length(html) AS day, page_id * 60 AS first,
+        page_id * 60 + 30 + (page_id % 5) * 36000 AS again FROM h),
+m AS (SELECT r.page_id, max(row(f.first, f.page_id)) AS best FROM c r JOIN c f ON f.url = r.url AND f.first < r.again
+      GROUP BY r.page_id),
+j AS (SELECT r.page_id, r.url, f.page_id AS stored, f.tag AS stored_tag, f.day AS stored_day, f.html AS stored_html,
+             CASE r.page_id % 4 WHEN 3 THEN NULL WHEN 2 THEN '"' || r.page_id || '"' WHEN 1 THEN 'W/' || r.tag
+               ELSE r.tag END AS sent_tag,
+             CASE WHEN r.page_id % 4 = 3 THEN r.day END AS sent_day
+      FROM c r LEFT JOIN m ON m.page_id = r.page_id LEFT JOIN c f ON f.page_id = m.best[2]),
+o AS (SELECT *, CASE WHEN stored IS NULL THEN 'no_response'
+        WHEN coalesce(regexp_replace(sent_tag, '^W/', '') = stored_tag, sent_day = stored_day) THEN 'resolved'
+        ELSE 'mismatch' END AS outcome FROM j)
+SELECT page_id * 2 + 1 AS record_id, url, stored * 2 AS response_id, outcome,
+       CASE WHEN outcome = 'resolved' THEN sha256(stored_html) END AS digest,
+       CASE WHEN outcome = 'resolved' THEN 'cache-control=max-age=120;content-length=' || strlen(stored_html)
+         || ';content-type=text/html;etag=' || coalesce(sent_tag, stored_tag)
+         || ';last-modified=' || coalesce(sent_day, stored_day) END AS headers
+FROM o"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """The other operators hash, draw, tokenize or train, which SQL cannot express; tests hold them to brute force."""
+    return {
+        "op4_minhash_near_dedup": _NEAR_DEDUP,
+        "op6_substring_dedup": _SUBSTRINGS,
+        "op8_revisit_resolution": _REVISITS,
+        "op9_exact_top_k": _TOP_K,
+    }

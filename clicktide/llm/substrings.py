@@ -171,13 +171,12 @@ def _remover(n_shards: int, window: int, names: list[str], with_text: bool) -> C
                 n_words.append(int(length))
                 n_removed.append(removed)
                 digests.append(hashlib.sha256(joined).hexdigest())
-                kept_texts.append(joined if removed else None)
+                kept_texts.append(joined if removed else block.texts[a + i])
         columns = {name: rows[name] for name in names}
         columns |= {"n_words": pa.array(n_words, pa.int64()), "n_removed": pa.array(n_removed, pa.int64()),
                     "kept_sha256": pa.array(digests, pa.string())}
         if with_text:
-            columns["kept_text"] = pa.array(
-                [None if t is None else t.decode() for t in kept_texts], pa.string())
+            columns["kept_text"] = pa.array([t.decode() for t in kept_texts], pa.string())
         return pa.table(columns)
 
     return remove
@@ -190,8 +189,9 @@ def remove_repeats(
     """Remove every word covered by a window of ``window`` words (PERIOD + 4 at least) that starts anywhere else.
 
     Words are runs of bytes other than ASCII white space, unchanged; windows lie in one text and are judged on the
-    input. Returns the ``keep`` columns (doc_id), n_words, n_removed, kept_sha256 and, if asked for, ``kept_text``:
-    the kept words joined by one space, null where nothing was removed. Null and empty texts have no words. Repeated
+    input. Returns the ``keep`` columns (doc_id), n_words, n_removed, kept_sha256 (of the kept words joined by one
+    space) and, if asked for, ``kept_text``: those, or the text as it was if nothing is removed. Null and empty texts
+    have no words. Repeated
     rows are copies of each other like any others, so all their windows go. Other columns are ignored; an empty
     table gives an empty result.
     """
