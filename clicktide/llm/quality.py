@@ -4,9 +4,9 @@ The model is trained on all trusted rows but those set aside for the thresholds.
 two nearest context bytes; a shard joins its counts with the n-grams that blocks of documents ask for. Discounts
 (three per order) and the two shortest orders are global and small: at most 256 * 256 rows.
 
-A document is kept if its perplexity lies between a low and a high quantile of the set-aside trusted documents of its
-language and length class, the distance to the median widened by ``slack``: noise, symbols and shouting lie above,
-repetition below.
+A document is kept if its perplexity is at most a high quantile of the set-aside trusted documents of its language and
+length class (short texts vary more), the distance from the median widened by SLACK. There is no lower limit: texts
+that the model has seen lie low.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from clicktide.llm.exchange import (
 
 # Ids of trusted documents are broadcast up to this many (8 bytes each), and joined by shuffle beyond.
 BROADCAST_IDS = 4_000_000
-LOW, HIGH, SLACK = 0.005, 0.995, 1.3
+QUANTILE, SLACK = 0.995, 1.3
 # A class with fewer set-aside documents uses its language's thresholds.
 LEAST_IN_CLASS = 40
 MEASURED = "row_id long, doc_id long, lang string, trusted boolean, aside boolean, n_symbols long, perplexity double"
@@ -212,36 +212,40 @@ def size_class(n: object) -> object:
 
 
 def classify(
-    docs: DataFrame, labels: DataFrame, low: float = LOW, high: float = HIGH, slack: float = SLACK,
+    docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, slack: float = SLACK,
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """Decide every row of ``docs(doc_id, text, lang, ...)`` by the trusted rows that ``labels`` names.
 
-    Returns row_id, doc_id, lang, trusted, n_symbols, perplexity, low, high and kept. Null texts are empty and, like
-    every text, judged by their perplexity. A language without set-aside trusted rows (also null, which is a
-    language of its own) uses the thresholds of all languages; with no trusted rows at all every row is kept.
-    Repeated rows get the same decision. Other columns are ignored; an empty table gives an empty result.
+    Returns row_id, doc_id, lang, trusted, aside, n_symbols, perplexity, limit and kept. Null texts are empty and, like
+    every text, judged by their perplexity. Where a language (null is one) has fewer than LEAST_IN_CLASS set-aside
+    rows of a length class, the larger of the language's and the length class's limits holds, or else that of all
+    rows; with no set-aside row at all every row is kept. Repeated rows get the same decision. Other columns are
+    ignored; an empty table gives an empty result.
     """
     measured = written(perplexities(docs, trusted_ids(labels), block_bytes), "quality").withColumn(
         "_class", size_class(F.col("n_symbols")))
     aside = measured.where("aside")
-    at = F.percentile(F.log("perplexity"), F.array(F.lit(low), F.lit(0.5), F.lit(high))).alias("_at")
-    n = F.count("*").alias("_n")
-    by_class = aside.groupBy("lang", "_class").agg(at, n).where(F.col("_n") >= LEAST_IN_CLASS)
-    by_lang = aside.groupBy("lang").agg(at, n)
-    overall = aside.agg(at, n)
+
+    def limit(*by: str) -> DataFrame:
+        at = F.percentile(F.log("perplexity"), F.array(F.lit(0.5), F.lit(quantile)))
+        found = aside.groupBy(*by).agg(at.alias("_at"), F.count("*").alias("_n"))
+        return found.select(
+            *[F.col(c).alias(f"_{c}") for c in by], "_n", F.exp(F.col("_at")[0] + slack * (F.col("_at")[1] - F.col("_at")[0])).alias("_limit"))
+
+    by_both = limit("lang", "_class").where(F.col("_n") >= LEAST_IN_CLASS).withColumnRenamed("_limit", "_both")
+    by_lang = limit("lang").withColumnRenamed("_limit", "_in_lang").withColumnRenamed("_lang", "_l")
+    by_class = limit("_class").withColumnRenamed("_limit", "_in_class").withColumnRenamed("__class", "_c")
+    of_all = limit().withColumn("_one", F.lit(1)).withColumnRenamed("_limit", "_in_all")
     limits = (
-        measured.select("lang", "_class").distinct()
-        .join(by_class.select(F.col("lang").alias("l1"), F.col("_class").alias("c1"), F.col("_at").alias("a1")),
-              F.col("lang").eqNullSafe(F.col("l1")) & (F.col("_class") == F.col("c1")), "left")
-        .join(by_lang.select(F.col("lang").alias("l2"), F.col("_at").alias("a2")),
-              F.col("lang").eqNullSafe(F.col("l2")), "left")
-        .withColumn("_one", F.lit(1)).join(overall.select(F.lit(1).alias("_one"), F.col("_at").alias("a3")), "_one", "left")
-        .select(F.col("lang").alias("_lang"), F.col("_class").alias("_size"), F.coalesce("a1", "a2", "a3").alias("_at")))
-    middle = F.col("_at")[1]
+        measured.select("lang", "_class").distinct().withColumn("_one", F.lit(1))
+        .join(by_both.drop("_n"), F.col("lang").eqNullSafe(F.col("_lang")) & (F.col("_class") == F.col("__class")), "left")
+        .join(by_lang.drop("_n"), F.col("lang").eqNullSafe(F.col("_l")), "left")
+        .join(by_class.drop("_n"), F.col("_class") == F.col("_c"), "left")
+        .join(of_all.drop("_n"), "_one", "left")
+        .select(F.col("lang").alias("_of"), F.col("_class").alias("_size"),
+                F.coalesce("_both", F.greatest("_in_lang", "_in_class"), "_in_all").alias("limit")))
     return (
-        measured.join(limits, F.col("lang").eqNullSafe(F.col("_lang")) & (F.col("_class") == F.col("_size")), "left")
-        .withColumn("low", F.exp(middle - slack * (middle - F.col("_at")[0])))
-        .withColumn("high", F.exp(middle + slack * (F.col("_at")[2] - middle)))
-        .withColumn("kept", F.coalesce(F.col("perplexity").between(F.col("low"), F.col("high")), F.lit(True)))
-        .select("row_id", "doc_id", "lang", "trusted", "aside", "n_symbols", "perplexity", "low", "high", "kept"))
+        measured.join(limits, F.col("lang").eqNullSafe(F.col("_of")) & (F.col("_class") == F.col("_size")), "left")
+        .withColumn("kept", F.coalesce(F.col("perplexity") <= F.col("limit"), F.lit(True)))
+        .select("row_id", "doc_id", "lang", "trusted", "aside", "n_symbols", "perplexity", "limit", "kept"))
