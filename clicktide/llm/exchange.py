@@ -172,8 +172,8 @@ def sharded_counts(
     return written(docs.mapInArrow(combine, COUNTED).groupBy("shard").applyInArrow(add_up, COUNTED), purpose)
 
 
-def pieces(texts: list[bytes], limit: int = PIECE_BYTES) -> Iterator[tuple[int, int]]:
-    """Ranges of consecutive texts of about ``limit`` bytes, one text at least."""
+def pieces(texts: list, limit: int = PIECE_BYTES) -> Iterator[tuple[int, int]]:
+    """Ranges of consecutive texts of about ``limit`` in length, one text at least."""
     start = held = 0
     for i, text in enumerate(texts):
         if held and held + len(text) > limit:

@@ -141,7 +141,8 @@ def mixed_rows(docs: DataFrame, block_words: int = BLOCK_WORDS) -> tuple[DataFra
         F.explode(F.sequence(F.floor(F.col("start") / length), F.floor((end - 1) / length))).alias("block"))
     lower = F.greatest(F.col("start") - F.col("block") * length, F.lit(0).cast("long"))
     upper = F.least(F.col("start") + F.col("size") - F.col("block") * length, F.col("words"))
-    taken = pieces.join(slots(sources, block_words), ["source_no", "block"]).where(upper > lower).select(
+    # The slots grow with the corpus, however small the table is that they are made from: never broadcast them.
+    taken = pieces.join(slots(sources, block_words).hint("merge"), ["source_no", "block"]).where(upper > lower).select(
         "source_no", "start", "pass", "shard", "slot",
         (F.col("block") * length + lower - F.col("start")).alias("from"), (upper - lower).alias("words"))
     return placed, taken
