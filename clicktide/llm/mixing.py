@@ -92,13 +92,13 @@ def _with_starts(rows: DataFrame) -> DataFrame:
 def slots(sources: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """Every slot: source_no, block, pass, words (taken from the block's front), shard, slot."""
     length = F.lit(block_words).cast("long")
+    size = F.greatest(F.col("source_size"), F.lit(1).cast("long"))  # sources without words get no slots
     plan = (
-        sources.where("source_size > 0")
-        .withColumn("_words", F.round("target").cast("long"))
-        .withColumn("_blocks", F.ceil(F.col("source_size") / length).cast("long"))
-        .withColumn("_short", F.col("source_size") - (F.col("_blocks") - 1) * length)
-        .withColumn("_passes", F.floor(F.col("_words") / F.col("source_size")).cast("long"))
-        .withColumn("_rest", F.col("_words") - F.col("_passes") * F.col("source_size"))
+        sources.withColumn("_words", F.round("target").cast("long"))
+        .withColumn("_blocks", F.ceil(size / length).cast("long"))
+        .withColumn("_short", size - (F.col("_blocks") - 1) * length)
+        .withColumn("_passes", F.floor(F.col("_words") / size).cast("long"))
+        .withColumn("_rest", F.col("_words") - F.col("_passes") * size)
         .withColumn("_at", permuted(F.col("_blocks") - 1, F.col("_blocks"), F.xxhash64("source_no", "_passes"), inverse=True))
         .withColumn("_last", F.when(F.col("_rest") <= F.col("_at") * length, F.ceil(F.col("_rest") / length))
                     .when(F.col("_rest") <= F.col("_at") * length + F.col("_short"), F.col("_at") + 1)

@@ -136,7 +136,7 @@ def _searcher(k: int) -> Callable:
             for q, found, scores in top_of_shard(
                     matrix(candidates), ids, candidates["row_id"].to_numpy(), matrix(queries), np.array(query_rows), k):
                 for i, score in zip(found.tolist(), scores):
-                    for column, value in zip(columns, (query_rows[q], query_ids[q], known[i], score)):
+                    for column, value in zip(columns, (query_rows[q], query_ids[q], known[i], max(-_NO_ID, min(score, _NO_ID)))):
                         column.append(value)
         names = ("query_row", "query_id", "vec_id", "score")
         return pa.table({n: pa.array(c, pa.int64()) for n, c in zip(names, columns)})
@@ -149,7 +149,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, vector: str = "embe
 
     Components count as floor(64 * x), scores are integer inner products, ties go to the smaller vec_id (null last).
     Every row but the query's own is a candidate, so repeated rows find each other. Vectors that are null or hold a
-    null or non-finite component take no part; a query meets only vectors of its own length. Null ``is_query`` is no
+    null or non-finite component take no part; a query meets only vectors of its own length. Scores beyond 63 bits count as
+    the largest such number. Null ``is_query`` is no
     query. Other columns are ignored; an empty table gives an empty result.
     """
     rows = written(vectors.select(
