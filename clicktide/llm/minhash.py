@@ -155,13 +155,15 @@ def confirmed(pairs: DataFrame, texts: DataFrame, ids: DataFrame) -> DataFrame:
     groups = pairs.groupBy("a").agg(F.ceil(F.count("*") / MEMBERS_PER_HUB).alias("_n"))
     dealt = pairs.join(groups, "a").select(
         "a", "b", F.xxhash64("a", F.pmod(F.xxhash64("b"), F.col("_n"))).alias("gid"))
-    needed = written(
-        dealt.select("gid", F.col("a").alias("hub"), F.col("b").alias("node"))
-        .unionByName(dealt.select("gid", F.col("a").alias("hub"), F.col("a").alias("node")).distinct())
-        .join(ids, "node").select("gid", "hub", "node", F.col("rep").alias("_rep")), "to-confirm")
-    needed = small(needed, BROADCAST_ROWS)
-    rows = texts.join(needed, texts["doc_id"].eqNullSafe(needed["_rep"])).select("gid", "hub", "node", "_text")
-    return rows.groupBy("gid").applyInArrow(_confirm, "a long, b long").distinct()
+    needed = (dealt.select("gid", F.col("a").alias("hub"), F.col("b").alias("node"))
+              .unionByName(dealt.select("gid", F.col("a").alias("hub"), F.col("a").alias("node")).distinct()))
+    return _with_texts(needed, texts, ids).groupBy("gid").applyInArrow(_confirm, "a long, b long").distinct()
+
+
+def _with_texts(needed: DataFrame, texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows (gid, node, ...) with the text of the node's smallest doc_id."""
+    needed = small(written(needed.join(ids, "node").withColumnRenamed("rep", "_rep"), "to-confirm"), BROADCAST_ROWS)
+    return texts.select("doc_id", "_text").join(needed, texts["doc_id"].eqNullSafe(needed["_rep"])).drop("doc_id", "_rep")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -181,42 +183,91 @@ def components(links: DataFrame) -> DataFrame:
         labels = new.select("node", "label")
 
 
+_PARTNERS = "gid long, node long, partners array<long>"
+
+
 def _tiles(key: tuple, rows: pa.Table) -> pa.Table:
-    """Pairs of one tile (left and right parts of a bucket) across components that the sketches allow."""
-    node = rows["node"].to_numpy()
-    side = rows["side"].to_numpy()
-    label = rows["label"].to_numpy()
+    """What to confirm of one tile (left and right parts of a bucket): sets of other components, if sketches allow.
+
+    A pair belongs to the first bucket that it shares, so it comes up in one tile only.
+    """
+    bucket, p, q = (k.as_py() if hasattr(k, "as_py") else int(k) for k in key)
+    node, side, label = (rows[c].to_numpy() for c in ("node", "side", "label"))
     codes = np.frombuffer(b"".join(rows["sketch"].to_pylist()), np.uint8).reshape(-1, T)
+    bands = rows["bands"].combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
     left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-    if not len(right):
-        right = left
-    a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    within = not len(right)
+    partners: dict[int, list[int]] = {}
     for i in left:
-        others = right[(label[right] != label[i])]
+        others = left[left > i] if within else right
+        others = others[label[others] != label[i]]
         hits = others[(codes[others] == codes[i]).sum(axis=1) >= LEAST_EQUAL]
-        a.append(np.minimum(node[hits], node[i]))
-        b.append(np.maximum(node[hits], node[i]))
-    pairs = np.unique(np.stack([np.concatenate(a), np.concatenate(b)], axis=1), axis=0)
-    return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
-
-
-def _open_pairs(members: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
-    """Across the components of each bucket that holds several: pairs that the sketches allow."""
+        if not len(hits):
+            continue
+        shared = bands[hits] == bands[i]
+        first = bands[i][np.argmax(shared, axis=1)]
+        hits = hits[shared.any(axis=1) & (first == bucket)]
+        if len(hits):
+            partners.setdefault(int(node[i]), []).extend(node[hits].tolist())
+    for own in list(partners.values()):
+        for other in own:
+            partners.setdefault(other, [])
+    gid = int(mix(np.array([bucket & 0xFFFFFFFFFFFFFFFF ^ (p << 20 | q)], np.uint64)).view(np.int64)[0])
+    return pa.table({
+        "gid": pa.array([gid] * len(partners), pa.int64()), "node": pa.array(list(partners), pa.int64()),
+        "partners": pa.array(list(partners.values()), pa.list_(pa.int64()))})
+
+
+def _open_tiles(members: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+    """Of each bucket that holds several components: the sets to confirm, each once per tile with its partners there."""
     labelled = members.join(labels, "node", "left").select(
         "bucket", "node", F.coalesce("label", "node").alias("label"))
     still_open = labelled.groupBy("bucket").agg(
         F.min("label").alias("_low"), F.max("label").alias("_high"), F.ceil(F.count("*") / TILE).alias("_n")
     ).where("_low <> _high")
     rows = (labelled.join(still_open.select("bucket", "_n"), "bucket")
-            .join(sets.select("node", "sketch"), "node")
+            .join(sets, "node")
             .withColumn("_part", F.pmod(F.xxhash64("node", "bucket"), F.col("_n"))))
     # Part p meets every part q >= p once: as the left side of (p, q) and the right side of (q, p).
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1))
     tiles = rows.select("*", other.alias("_other")).select(
-        "bucket", "node", "label", "sketch",
+        "bucket", "node", "label", "sketch", "bands",
         F.least("_part", "_other").alias("_p"), F.greatest("_part", "_other").alias("_q"),
         F.when(F.col("_part") <= F.col("_other"), 0).otherwise(1).alias("side"))
-    return tiles.groupBy("bucket", "_p", "_q").applyInArrow(_tiles, "a long, b long").distinct()
+    return tiles.groupBy("bucket", "_p", "_q").applyInArrow(_tiles, _PARTNERS)
+
+
+def _confirm_partners(key: tuple, rows: pa.Table) -> pa.Table:
+    """Links of one tile on full sets; sets that the tile's links already connect are not compared again."""
+    hashes = WordHashes()
+    sets: dict[int, np.ndarray] = {}
+    group: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while group[x] != x:
+            group[x] = group[group[x]]
+            x = group[x]
+        return x
+
+    nodes, texts, partners = (rows[c].to_pylist() for c in ("node", "_text", "partners"))
+    for node, text in zip(nodes, texts):
+        if node not in sets:
+            elements = shingles(text, hashes)
+            if node_of(elements) == node:  # else another row with the same id
+                sets[node], group[node] = elements, node
+    links = []
+    for node, own in zip(nodes, partners):
+        for other in own:
+            if node in sets and other in sets and find(node) != find(other):
+                a, b = sets[node], sets[other]
+                least, most = sorted((len(a), len(b)))
+                if 100 * least < PERCENT * most:
+                    continue
+                common = len(np.intersect1d(a, b, assume_unique=True))
+                if 100 * common >= PERCENT * (len(a) + len(b) - common):
+                    links.append((node, other))
+                    group[find(node)] = find(other)
+    return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([x for _, x in links], pa.int64())})
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -233,19 +284,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     all_rows = written(texts.mapInArrow(_sketched, SKETCHED), "sketches")
     rows = all_rows.where("n_shingles > 0")
     ids = rows.groupBy("node").agg(F.min("doc_id").alias("rep"))
-    sets = written(rows.select("node", "sketch").dropDuplicates(["node"]), "sets")
+    sets = written(rows.select("node", "sketch", "bands").dropDuplicates(["node"]), "sets")
     banded = rows.select("node", F.explode("bands").alias("bucket"))
     hubs = (banded.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("_last"))
             .where("hub <> _last").select("bucket", "hub"))
     members = written(banded.join(hubs, "bucket").select("bucket", "node", "hub"), "buckets")
     stars = members.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    tried = written(alike(stars, sets), "pairs")
-    links = written(confirmed(tried, texts, ids), "confirmed")
+    links = written(confirmed(written(alike(stars, sets), "pairs"), texts, ids), "confirmed")
     labels = components(links)
-    rest = written(_open_pairs(members.select("bucket", "node").distinct(), labels, sets)
-                   .join(tried, ["a", "b"], "left_anti"), "pairs")
+    rest = written(_open_tiles(members.select("bucket", "node").distinct(), labels, sets), "tiles")
     if rest.limit(1).count():
-        links = links.unionByName(confirmed(rest, texts, ids))
+        more = _with_texts(rest, texts, ids).groupBy("gid").applyInArrow(_confirm_partners, "a long, b long")
+        links = links.unionByName(written(more, "confirmed"))
         labels = components(links)
     found = all_rows.select("doc_id", "row_id", "n_shingles", "node").join(labels, "node", "left").withColumn(
         "component", F.coalesce("label", "node"))
