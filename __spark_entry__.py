@@ -253,14 +253,17 @@ def queries() -> dict[str, Query]:
         "interval_join_1h": _interval("1 hour"),
         "interval_join_24h": _interval("24 hours"),
         "interval_left_1h": _interval("1 hour", "left"),
+        "interval_left_24h": _interval("24 hours", "left"),
         "tumbling_clicks_5s": _tumbling("5 seconds"),
         "tumbling_clicks_5min": _tumbling("5 minutes"),
         "tumbling_clicks_1h": _tumbling("1 hour"),
+        "tumbling_clicks_1d": _tumbling("1 day"),
         "activities_union": activities_union,
         "activity_counts": activity_counts_per_user,
         "session_10s": _sessions("10 seconds"),
         "session_6h": _sessions("6 hours"),
         "session_6h_clean_lists": _sessions("6 hours", None),
+        "session_24h": _sessions("24 hours"),
         "stream_tumbling_5s": stream_tumbling_5s,
         "stream_session_6h": stream_session_6h,
         "stream_interval_join_1h": stream_interval_join_1h,
@@ -378,9 +381,11 @@ def oracle_sql() -> dict[str, str]:
         "interval_join_1h": pairs_1h,
         "interval_join_24h": pairs_24h,
         "interval_left_1h": _interval_sql("1 HOUR", "LEFT JOIN"),
+        "interval_left_24h": _interval_sql("24 HOURS", "LEFT JOIN"),
         "tumbling_clicks_5s": tumbling_5s,
         "tumbling_clicks_5min": _tumbling_sql("5 MINUTES"),
         "tumbling_clicks_1h": _tumbling_sql("1 HOUR"),
+        "tumbling_clicks_1d": _tumbling_sql("1 DAY"),
         "activities_union": _with("SELECT * FROM activities"),
         "activity_counts": _with("""
             SELECT user_id, count(*) FILTER (WHERE activity_type = 'checkout') AS num_checkouts,
@@ -389,6 +394,7 @@ def oracle_sql() -> dict[str, str]:
         "session_10s": _session_sql("10 SECONDS"),
         "session_6h": sessions_6h,
         "session_6h_clean_lists": _session_sql("6 HOURS", clean=True),
+        "session_24h": _session_sql("24 HOURS"),
         # A stream gives only what its final watermark has closed.
         "stream_tumbling_5s": _tumbling_sql(
             "5 SECONDS", "HAVING window_end <= (SELECT max(event_ts) - INTERVAL 5 SECONDS FROM clicks)"),

@@ -5,13 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
+_UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
 
 
 def duration_seconds(duration: str) -> int:
-    """Whole seconds of a duration such as ``"10 seconds"`` or ``"1 hour"``."""
-    amount, unit = duration.split()
-    return int(amount) * _UNIT_SECONDS[unit.rstrip("s")]
+    """Whole seconds of a duration such as ``"10 seconds"``, ``"1 HOUR"`` or ``"1 hour 30 minutes"``."""
+    parts = duration.lower().split()
+    amounts, units = parts[::2], [unit.removesuffix("s") for unit in parts[1::2]]
+    if not parts or len(parts) % 2 or not all(a.isdecimal() for a in amounts) or not set(units) <= set(_UNIT_SECONDS):
+        raise ValueError(f"not a duration in whole {', '.join(u + 's' for u in _UNIT_SECONDS)}: {duration!r}")
+    return sum(int(amount) * _UNIT_SECONDS[unit] for amount, unit in zip(amounts, units))
 
 
 def interval(duration: str) -> Column:

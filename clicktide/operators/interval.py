@@ -37,7 +37,7 @@ def interval_join(
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be inner or left, not {how}")
-    width = duration_seconds(lookback)
+    width = max(1, duration_seconds(lookback))
     checkout_bin = F.floor(F.unix_seconds("checkout_event_ts") / width)
     click_bin = F.floor(F.unix_seconds("click_event_ts") / width)
     left = _narrow(checkouts, "checkout_id", "checkout_")

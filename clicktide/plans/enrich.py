@@ -30,7 +30,7 @@ def start_kind(spark: SparkSession, config: JobConfig, kind: str, events: DataFr
     name = _TABLES[kind]
     database, sink = schemas.SINKS[name]
     table = config.table(database, name)
-    ensure_batch_table(spark, table, sink, config.table_format, config.warehouse)
+    ensure_batch_table(spark, table, sink, config.table_format, config.warehouse, config.checkpoint(name))
     snapshot = DimensionSnapshot(
         spark, lambda: config.products(spark), f"{config.checkpoint(name)}-dimension", config.dimension_ttl
     )

@@ -47,11 +47,37 @@ def _publish_view(spark: SparkSession, table: str, names: list[str], merged: int
     )
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there, in any file system that Spark reads."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+
+
+def _is_new(spark: SparkSession, checkpoint: str) -> bool:
+    return not _exists(spark, f"{checkpoint.rstrip('/')}/metadata")
+
+
+def _written_by_stream(spark: SparkSession, table: str) -> bool:
+    """Whether a streaming file sink owns the table: readers then see only the files in its log."""
+    where = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").select("data_type").first()
+    return where is not None and _exists(spark, f"{where[0].rstrip('/')}/_spark_metadata")
+
+
 def ensure_batch_table(
-    spark: SparkSession, table: str, schema: T.StructType, using: str = "parquet", warehouse: str | None = None
+    spark: SparkSession, table: str, schema: T.StructType, using: str = "parquet", warehouse: str | None = None,
+    checkpoint: str | None = None,
 ) -> None:
-    """Create ``table`` as a view with exactly ``schema`` over ``table_batches``, one partition per micro-batch."""
+    """Create ``table`` as a view with exactly ``schema`` over ``table_batches``, one partition per micro-batch.
+
+    Batches are named by number, so a table belongs to one checkpoint: a new ``checkpoint`` over a table that
+    already holds batches raises, as does a plain table of that name.
+    """
     _ensure_database(spark, table, warehouse)
+    if spark.catalog.tableExists(table) and spark.catalog.getTable(table).tableType != "VIEW":
+        raise ValueError(f"{table} is a plain table, not a view over micro-batches")
+    if (checkpoint and spark.catalog.tableExists(f"{table}_batches") and _is_new(spark, checkpoint)
+            and spark.sql(f"SHOW PARTITIONS {table}_batches").limit(1).count()):
+        raise ValueError(f"{table} holds the batches of another checkpoint than {checkpoint}")
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table}_batches ({_columns(schema)}, batch_id bigint) "
         f"USING {using} PARTITIONED BY (batch_id)"
@@ -109,8 +135,13 @@ def overwrite_batch(df: DataFrame, table: str, batch_id: int) -> None:
 def append_table(
     df: DataFrame, table: str, schema: T.StructType, using: str = "parquet", warehouse: str | None = None
 ) -> None:
-    """Append a batch result by position, creating the table if missing."""
+    """Append a batch result by position, creating the table if missing.
+
+    Raises for a table of a streaming file sink, whose readers would not see the rows.
+    """
     ensure_table(df.sparkSession, table, schema, using, warehouse)
+    if _written_by_stream(df.sparkSession, table):
+        raise ValueError(f"{table} is written by a stream; rows appended beside it would not be seen")
     conform(df, schema).write.insertInto(table)
 
 
@@ -126,9 +157,14 @@ def append_stream(
 ) -> StreamingQuery:
     """Start appending a stream to a table, exactly once, one commit per trigger.
 
-    ``interval=None`` works off what is there and stops.
+    ``interval=None`` works off what is there and stops. A Parquet table belongs to one checkpoint: a new one
+    over a table that holds rows raises, since the file sink would hide those rows or skip its own.
     """
-    ensure_table(df.sparkSession, table, schema, using, warehouse)
+    spark = df.sparkSession
+    ensure_table(spark, table, schema, using, warehouse)
+    if using == "parquet" and _is_new(spark, checkpoint) and (
+            _written_by_stream(spark, table) or spark.table(table).limit(1).count()):
+        raise ValueError(f"{table} holds rows of another writer than {checkpoint}")
     writer = conform(df, schema).writeStream.outputMode("append").option("checkpointLocation", checkpoint)
     if name:
         writer = writer.queryName(name)

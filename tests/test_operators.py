@@ -193,6 +193,14 @@ def test_join_compares_whole_seconds_and_keeps_fractions(spark):
     assert (row["checkout_time"], row["click_time"]) == (BASE + 10.25, BASE + 10.75)
 
 
+def test_no_lookback_pairs_the_same_second(spark):
+    clicks = frame(spark, "clicks", [click("c1", "u", 5.2), click("c2", "u", 4.9), click("c3", "u", 6)])
+    checkouts = frame(spark, "checkouts", [checkout("k", "u", 5.8)])
+    for how in ("inner", "left"):
+        pairs = checkout_clicks.build(clicks, checkouts, "0 seconds", how=how).select("checkout_id", "click_id")
+        assert rows(pairs) == Counter([("k", "c1")])
+
+
 def test_left_join_keeps_unmatched_checkouts_once(spark):
     clicks = frame(spark, "clicks", [click("c", "u", 0), click("other", None, 0)])
     checkouts = frame(spark, "checkouts", [checkout("k1", "u", 5), checkout("k2", "v", 5), checkout("k3", None, 5)])
@@ -313,3 +321,13 @@ def test_union_and_counts(spark):
     assert acts.columns == schemas.ACTIVITIES.names
     assert acts.count() == 4
     assert rows(activity_counts(acts)) == Counter([("u", 1, 2), ("v", 0, 1)])
+
+
+def test_durations():
+    from clicktide.functions.eventtime import duration_seconds
+
+    assert [duration_seconds(d) for d in ("10 seconds", "1 HOUR", "1 hour 30 minutes", "2 weeks")] == [10, 3600, 5400, 1209600]
+    for wrong in ("500 milliseconds", "hour", "", "1 hour 30"):
+        with pytest.raises(ValueError):
+            duration_seconds(wrong)
+

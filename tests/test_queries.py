@@ -6,6 +6,9 @@ from compare import TABLES_DIR, connect, spark_rows, sql_rows
 import __spark_entry__ as contract
 
 ORACLES = contract.oracle_sql()
+# Those of the training-data package, where it is present, have tests of their own.
+OTHERS = set() if contract.llm_queries is None else {*contract.llm_queries.queries(), "pipeline"}
+NAMES = [name for name in contract.queries() if name not in OTHERS]
 
 
 @pytest.fixture(scope="module")
@@ -14,10 +17,10 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(ORACLES)
+    assert set(NAMES) == set(ORACLES) - OTHERS
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", NAMES)
 def test_query_equals_sql(spark, duck, name):
     result = contract.queries()[name](spark, TABLES_DIR)
     expected, names = sql_rows(duck, ORACLES[name])

@@ -12,6 +12,7 @@ from clicktide.plans import checkout_clicks, enrich, product_clicks, user_sessio
 from clicktide.plans.config import JobConfig
 from clicktide.sources import read_events
 from clicktide.streaming import (
+    append_stream,
     append_table,
     await_all,
     create_zones,
@@ -265,3 +266,29 @@ def test_zones(spark):
     create_zones(spark)
     create_zones(spark)
     assert set(ZONES) <= {d.name for d in spark.catalog.listDatabases()}
+
+
+def test_a_table_has_one_writer(spark, replay, work_dir):
+    """A second writer that the file sink would hide, or be hidden by, is refused."""
+    config = replay.config
+    rows = spark.createDataFrame([("u1", "n1")], schemas.USERS)
+    folder = f"{work_dir}/input"
+    rows.write.parquet(folder)
+    stream = spark.readStream.schema(schemas.USERS).parquet(folder)
+
+    def run(table, checkpoint):
+        append_stream(stream, table, schemas.USERS, f"{work_dir}/{checkpoint}", None, warehouse=config.warehouse).awaitTermination()
+
+    batch, streamed = f"{config.database_prefix}w.batch", f"{config.database_prefix}w.streamed"
+    append_table(rows, batch, schemas.USERS, warehouse=config.warehouse)
+    with pytest.raises(ValueError):
+        run(batch, "c1")
+    run(streamed, "c2")
+    run(streamed, "c2")
+    with pytest.raises(ValueError):
+        run(streamed, "c3")
+    with pytest.raises(ValueError):
+        append_table(rows, streamed, schemas.USERS, warehouse=config.warehouse)
+    with pytest.raises(ValueError):
+        ensure_batch_table(spark, batch, schemas.USERS, warehouse=config.warehouse)
+    assert spark.table(batch).count() == spark.table(streamed).count() == 1
