@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from clicktide.plans.config import JobConfig
 from clicktide.session import configure, new_work_dir
 from clicktide.sources import register_views
 from clicktide.sources.tables import checkouts_of, clicks_of, events_table, products_of, users_of
-from clicktide.streaming import append_stream, append_table
+from clicktide.streaming import append_stream, append_table, merge_batches
 
 try:  # The training-data operators come as a package of their own, which may be left out.
     import corpus_pipeline
@@ -226,6 +227,30 @@ def _roundtrip(sink: str, result: Query) -> Query:
     return query
 
 
+def _shared_table(steps: str) -> Query:
+    """Enriched clicks written to one table by several writers: b a batch append, s a stream of its own
+    checkpoint, m a merge of the batches so far."""
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        config = _run_config(configure(spark))
+        name = "enriched_clicks"
+        database, schema = schemas.SINKS[name]
+        table = config.table(database, name)
+        config.products = lambda session: products_of(session, sf_dir)
+        for number, step in enumerate(steps):
+            if step == "b":
+                rows = enrich.build(_clicks(spark, sf_dir), products_of(spark, sf_dir), schema)
+                append_table(rows, table, schema, warehouse=config.warehouse)
+            elif step == "s":
+                run = replace(config, checkpoint_root=f"{config.checkpoint_root}/{number}")
+                run.products = config.products
+                enrich.start_kind(spark, run, "clicks", _clicks(spark, sf_dir, stream=True)).awaitTermination()
+            else:
+                merge_batches(spark, table)
+        return _comparable(spark.sql(f"SELECT * FROM {table}"))
+
+    return query
+
+
 # ---- contract ------------------------------------------------------------------------------------
 
 
@@ -272,6 +297,9 @@ def queries() -> dict[str, Query]:
         "sink_roundtrip_checkouts_clicks": _roundtrip("checkouts_clicks", _interval("24 hours")),
         "sink_roundtrip_products_clicks_5min": _roundtrip("products_clicks_5min", _tumbling("5 seconds")),
         "sink_roundtrip_session_activities": _roundtrip("session_activities", _sessions("6 hours")),
+        "sink_backfill_then_stream": _shared_table("bs"),
+        "sink_two_runs": _shared_table("ss"),
+        "sink_merged": _shared_table("bsmsm"),
     }
 
 
@@ -362,6 +390,12 @@ def oracle_sql() -> dict[str, str]:
         f'"{name}" AS "click_{name}"' for name in schemas.CLICKS.names + schemas.METADATA.names
     )
     pairs_1h, pairs_24h = _interval_sql("1 HOUR"), _interval_sql("24 HOURS")
+
+
+    def enriched_by(writers: int) -> str:
+        copies = " UNION ALL ".join(["SELECT * FROM clicks"] * writers)
+        return _enrich_sql(f"({copies})")
+
     tumbling_5s, sessions_6h = _tumbling_sql("5 SECONDS"), _session_sql("6 HOURS")
     return {
         **({} if llm_queries is None else llm_queries.oracle_sql()),
@@ -407,4 +441,7 @@ def oracle_sql() -> dict[str, str]:
         "sink_roundtrip_checkouts_clicks": pairs_24h,
         "sink_roundtrip_products_clicks_5min": tumbling_5s,
         "sink_roundtrip_session_activities": sessions_6h,
+        "sink_backfill_then_stream": enriched_by(2),
+        "sink_two_runs": enriched_by(2),
+        "sink_merged": enriched_by(3),
     }

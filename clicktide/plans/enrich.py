@@ -10,7 +10,7 @@ from clicktide import schemas
 from clicktide.operators import conform, lookup_join
 from clicktide.plans.config import JobConfig, config_from, job_session
 from clicktide.sources import DimensionSnapshot
-from clicktide.streaming import await_all, ensure_batch_table, overwrite_batch
+from clicktide.streaming import append_batches, await_all, ensure_batch_table
 
 _TABLES = {"clicks": "enriched_clicks", "checkouts": "enriched_checkouts"}
 
@@ -30,24 +30,17 @@ def start_kind(spark: SparkSession, config: JobConfig, kind: str, events: DataFr
     name = _TABLES[kind]
     database, sink = schemas.SINKS[name]
     table = config.table(database, name)
-    ensure_batch_table(spark, table, sink, config.table_format, config.warehouse, config.checkpoint(name))
+    ensure_batch_table(spark, table, sink, config.table_format, config.warehouse)
     snapshot = DimensionSnapshot(
         spark, lambda: config.products(spark), f"{config.checkpoint(name)}-dimension", config.dimension_ttl
     )
 
-    def write(batch: DataFrame, batch_id: int) -> None:
+    def enriched(batch: DataFrame) -> DataFrame:
         products, size = snapshot.current()
-        overwrite_batch(build(batch, products, sink, size), table, batch_id)
+        return build(batch, products, sink, size)
 
     events = config.events(spark, kind) if events is None else events
-    trigger = {"processingTime": config.commit_interval} if config.commit_interval else {"availableNow": True}
-    return (
-        events.writeStream.queryName(name)
-        .option("checkpointLocation", config.checkpoint(name))
-        .trigger(**trigger)
-        .foreachBatch(write)
-        .start()
-    )
+    return append_batches(events, enriched, table, config.checkpoint(name), config.commit_interval, name)
 
 
 def start(spark: SparkSession, config: JobConfig) -> list[StreamingQuery]:

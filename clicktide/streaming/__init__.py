@@ -1,5 +1,6 @@
 from clicktide.streaming.publish import publish_events
 from clicktide.streaming.sinks import (
+    append_batches,
     append_stream,
     append_table,
     create_zones,
@@ -12,6 +13,7 @@ from clicktide.streaming.sinks import (
 from clicktide.streaming.supervise import await_all, rows_dropped_late
 
 __all__ = [
+    "append_batches",
     "append_stream",
     "append_table",
     "await_all",

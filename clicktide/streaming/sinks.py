@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import json
+import uuid
+from collections.abc import Callable
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,112 +43,153 @@ def ensure_table(
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({_columns(schema)}) USING {using}")
 
 
-def _publish_view(spark: SparkSession, table: str, names: list[str], merged: int) -> None:
-    """Show the merged partitions up to batch ``merged`` and the single batches after it."""
-    columns = ", ".join(f"`{n}`" for n in names)
-    spark.sql(
-        f"CREATE OR REPLACE VIEW {table} TBLPROPERTIES ('merged_batches' = '{merged}') AS "
-        f"SELECT {columns} FROM {table}_batches "
-        f"WHERE batch_id > {merged} OR (batch_id < 0 AND batch_id >= {-merged - 1})"
-    )
+# Runs of rows that merge_batches has gathered; shown only once the view names them.
+_MERGED = "merged_"
+_APPEND = "append_"
+_STREAM = "stream_"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    """Whether a path is there, in any file system that Spark reads."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+def _publish_view(spark: SparkSession, table: str, names: list[str], closed: dict[str, int], merged: list[str]) -> None:
+    """Show every batch of every run but those gathered elsewhere, and the runs they were gathered in.
 
-
-def _is_new(spark: SparkSession, checkpoint: str) -> bool:
-    return not _exists(spark, f"{checkpoint.rstrip('/')}/metadata")
+    ``closed`` has, for a run, the last of its batches that ``merged`` runs hold.
+    """
+    columns = ", ".join(f"`{n}`" for n in names)
+    plain = [f"NOT startswith(run, '{_MERGED}')"]
+    plain += [f"NOT (run = '{run}' AND batch_id <= {last})" for run, last in sorted(closed.items())]
+    shown = f"({' AND '.join(plain)})"
+    if merged:
+        shown += " OR run IN (" + ", ".join(f"'{run}'" for run in merged) + ")"
+    record = json.dumps({"closed": closed, "merged": merged})
+    spark.sql(
+        f"CREATE OR REPLACE VIEW {table} TBLPROPERTIES ('merged_runs' = '{record}') AS "
+        f"SELECT {columns} FROM {table}_batches WHERE {shown}"
+    )
 
 
-def _written_by_stream(spark: SparkSession, table: str) -> bool:
-    """Whether a streaming file sink owns the table: readers then see only the files in its log."""
-    where = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").select("data_type").first()
-    return where is not None and _exists(spark, f"{where[0].rstrip('/')}/_spark_metadata")
+def _is_view(spark: SparkSession, table: str) -> bool:
+    return spark.catalog.tableExists(table) and spark.catalog.getTable(table).tableType == "VIEW"
 
 
 def ensure_batch_table(
-    spark: SparkSession, table: str, schema: T.StructType, using: str = "parquet", warehouse: str | None = None,
-    checkpoint: str | None = None,
+    spark: SparkSession, table: str, schema: T.StructType, using: str = "parquet", warehouse: str | None = None
 ) -> None:
-    """Create ``table`` as a view with exactly ``schema`` over ``table_batches``, one partition per micro-batch.
+    """Create ``table`` as a view with exactly ``schema`` over ``table_batches``.
 
-    Batches are named by number, so a table belongs to one checkpoint: a new ``checkpoint`` over a table that
-    already holds batches raises, as does a plain table of that name.
+    ``table_batches`` has one partition per writer (``run``) and batch, so any number of backfills, streams and
+    checkpoints add to one table and a batch that is run again replaces nothing but itself. A plain table of that
+    name raises.
     """
     _ensure_database(spark, table, warehouse)
-    if spark.catalog.tableExists(table) and spark.catalog.getTable(table).tableType != "VIEW":
-        raise ValueError(f"{table} is a plain table, not a view over micro-batches")
-    if (checkpoint and spark.catalog.tableExists(f"{table}_batches") and _is_new(spark, checkpoint)
-            and spark.sql(f"SHOW PARTITIONS {table}_batches").limit(1).count()):
-        raise ValueError(f"{table} holds the batches of another checkpoint than {checkpoint}")
+    if spark.catalog.tableExists(table) and not _is_view(spark, table):
+        raise ValueError(f"{table} is a plain table, not a view over batches")
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {table}_batches ({_columns(schema)}, batch_id bigint) "
-        f"USING {using} PARTITIONED BY (batch_id)"
+        f"CREATE TABLE IF NOT EXISTS {table}_batches ({_columns(schema)}, run string, batch_id bigint) "
+        f"USING {using} PARTITIONED BY (run, batch_id)"
     )
     if not spark.catalog.tableExists(table):
-        _publish_view(spark, table, schema.names, merged=-1)
+        _publish_view(spark, table, schema.names, {}, [])
+
+
+def _partitions(spark: SparkSession, batches: str) -> list[tuple[str, int]]:
+    """(run, batch) of every committed partition."""
+    found = []
+    for row in spark.sql(f"SHOW PARTITIONS {batches}").collect():
+        run, batch_id = (part.partition("=")[2] for part in row["partition"].split("/"))
+        found.append((run, int(batch_id)))
+    return found
 
 
 def merge_batches(spark: SparkSession, table: str) -> None:
-    """Rewrite the single micro-batches of a batch table, all but the newest, as one partition.
+    """Rewrite the single batches of a batch table, all but each stream's newest, as one partition.
 
-    Keeps the number of partitions and small files in bounds; to be run now and then, by one process at a
-    time, beside the running stream, which only ever writes the newest batch. Replacing the view is the
-    one step that counts: a run that fails before it changed nothing readers see, and the next run first
-    drops what it left.
+    Keeps the number of partitions and small files in bounds; to be run now and then, by one process at a time,
+    beside running writers: a stream only ever writes its newest batch, and a batch append commits its only one.
+    What was gathered is recorded run by run, so a new run is never taken for an old one. Replacing the view is the
+    one step that counts: a merge that fails before it changed nothing readers see, and the next one first drops
+    what it left. Partitions replaced by a merge stay until the next, for readers that have planned with them.
     """
     batches = f"{table}_batches"
     properties = {row["key"]: row["value"] for row in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
-    merged = int(properties["merged_batches"])
-    ids = [int(row["partition"].partition("=")[2]) for row in spark.sql(f"SHOW PARTITIONS {batches}").collect()]
-    closed = sorted(i for i in ids if i > merged)[:-1]
-    stale = [i for i in ids if i < -merged - 1 or 0 <= i <= merged]
-    for batch_id in stale:
-        spark.sql(f"ALTER TABLE {batches} DROP IF EXISTS PARTITION (batch_id = {batch_id})")
-    if not closed:
+    record = json.loads(properties["merged_runs"])
+    closed, merged = record["closed"], record["merged"]
+    present: dict[str, list[int]] = {}
+    for run, batch_id in _partitions(spark, batches):
+        if (run.startswith(_MERGED) and run not in merged) or batch_id <= closed.get(run, -1):
+            spark.sql(f"ALTER TABLE {batches} DROP IF EXISTS PARTITION (run = '{run}', batch_id = {batch_id})")
+        elif not run.startswith(_MERGED):
+            present.setdefault(run, []).append(batch_id)
+    last = {}
+    for run, ids in present.items():
+        done = sorted(ids) if run.startswith(_APPEND) else sorted(ids)[:-1]
+        if done:
+            last[run] = done[-1]
+    if not last:
         return
-    last = closed[-1]
     names = spark.table(table).columns
-    rows = spark.table(batches).where((F.col("batch_id") > merged) & (F.col("batch_id") <= last))
+    ready = reduce(or_, [
+        (F.col("run") == run) & (F.col("batch_id") > closed.get(run, -1)) & (F.col("batch_id") <= to)
+        for run, to in last.items()])
+    target = f"{_MERGED}{uuid.uuid4().hex}"
     # Rebalanced to files of advisory size.
-    merged_rows = rows.select(*names, F.lit(-last - 1).cast("bigint").alias("batch_id")).hint("rebalance")
-    # Only a dynamic overwrite may read the table it writes to.
-    mode = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(mode)
-    spark.conf.set(mode, "dynamic")
-    try:
-        merged_rows.write.insertInto(batches, overwrite=True)
-    finally:
-        spark.conf.set(mode, before)
-    _publish_view(spark, table, names, last)
+    overwrite_batch(spark.table(batches).where(ready).select(*names).hint("rebalance"), table, 0, target, into=True)
+    # An append's id is never used again: its entry goes once its partition has gone.
+    kept = {run: to for run, to in closed.items() if not run.startswith(_APPEND)}
+    _publish_view(spark, table, names, {**kept, **last}, [*merged, target])
 
 
-def overwrite_batch(df: DataFrame, table: str, batch_id: int) -> None:
-    """Write one micro-batch into its own partition; a batch run again replaces its first try."""
-    view = f"batch_{batch_id}_of_{table.replace('.', '_')}"
+def overwrite_batch(df: DataFrame, table: str, batch_id: int, run: str, into: bool = False) -> None:
+    """Write one batch of a run into its own partition; a batch run again replaces its first try.
+
+    ``into`` appends instead, to a partition that is new: only so may ``df`` read the table itself.
+    """
+    view = f"batch_{batch_id}_of_{table.replace('.', '_')}_{uuid.uuid4().hex}"
     df.createOrReplaceTempView(view)
     spark = df.sparkSession
     try:
         names = ", ".join(f"`{n}`" for n in df.columns)
-        spark.sql(f"INSERT OVERWRITE TABLE {table}_batches PARTITION (batch_id = {batch_id}) SELECT {names} FROM {view}")
+        spark.sql(
+            f"INSERT {'INTO' if into else 'OVERWRITE'} TABLE {table}_batches "
+            f"PARTITION (run = '{run}', batch_id = {batch_id}) SELECT {names} FROM {view}")
     finally:
         spark.catalog.dropTempView(view)
 
 
+def stream_run(spark: SparkSession, checkpoint: str) -> str:
+    """The run of a stream: its query id, which its checkpoint keeps over restarts."""
+    return _STREAM + spark.read.schema("id string").json(f"{checkpoint.rstrip('/')}/metadata").first()["id"]
+
+
 def append_table(
     df: DataFrame, table: str, schema: T.StructType, using: str = "parquet", warehouse: str | None = None
 ) -> None:
-    """Append a batch result by position, creating the table if missing.
+    """Append a batch result by position, creating the table if missing; other writers may add to it too."""
+    spark = df.sparkSession
+    if using != "parquet":
+        ensure_table(spark, table, schema, using, warehouse)
+        conform(df, schema).write.insertInto(table)
+        return
+    ensure_batch_table(spark, table, schema, using, warehouse)
+    overwrite_batch(conform(df, schema), table, 0, f"{_APPEND}{uuid.uuid4().hex}")
 
-    Raises for a table of a streaming file sink, whose readers would not see the rows.
-    """
-    ensure_table(df.sparkSession, table, schema, using, warehouse)
-    if _written_by_stream(df.sparkSession, table):
-        raise ValueError(f"{table} is written by a stream; rows appended beside it would not be seen")
-    conform(df, schema).write.insertInto(table)
+
+def append_batches(
+    df: DataFrame, transform: Callable[[DataFrame], DataFrame], table: str, checkpoint: str,
+    interval: str | None = "10 seconds", name: str | None = None,
+) -> StreamingQuery:
+    """Start writing each micro-batch of a stream, transformed, into its own partition of a batch table."""
+    run: list[str] = []
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if not run:
+            run.append(stream_run(batch.sparkSession, checkpoint))
+        overwrite_batch(transform(batch), table, batch_id, run[0])
+
+    trigger = {"processingTime": interval} if interval else {"availableNow": True}
+    writer = df.writeStream.outputMode("append").option("checkpointLocation", checkpoint).trigger(**trigger)
+    if name:
+        writer = writer.queryName(name)
+    return writer.foreachBatch(write).start()
 
 
 def append_stream(
@@ -157,15 +204,16 @@ def append_stream(
 ) -> StreamingQuery:
     """Start appending a stream to a table, exactly once, one commit per trigger.
 
-    ``interval=None`` works off what is there and stops. A Parquet table belongs to one checkpoint: a new one
-    over a table that holds rows raises, since the file sink would hide those rows or skip its own.
+    ``interval=None`` works off what is there and stops. Backfills, other streams and new checkpoints may add to the
+    same table. Formats with commits of their own (Iceberg) are written by their streaming sink.
     """
     spark = df.sparkSession
+    rows = conform(df, schema)
+    if using == "parquet":
+        ensure_batch_table(spark, table, schema, using, warehouse)
+        return append_batches(rows, lambda batch: batch, table, checkpoint, interval, name)
     ensure_table(spark, table, schema, using, warehouse)
-    if using == "parquet" and _is_new(spark, checkpoint) and (
-            _written_by_stream(spark, table) or spark.table(table).limit(1).count()):
-        raise ValueError(f"{table} holds rows of another writer than {checkpoint}")
-    writer = conform(df, schema).writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+    writer = rows.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
     if name:
         writer = writer.queryName(name)
     trigger = {"processingTime": interval} if interval else {"availableNow": True}

@@ -17,11 +17,13 @@ from clicktide.streaming import (
     await_all,
     create_zones,
     ensure_batch_table,
+    ensure_table,
     merge_batches,
     overwrite_batch,
     rows_dropped_late,
 )
-from clicktide.streaming.sinks import ZONES
+from clicktide.streaming import sinks
+from clicktide.streaming.sinks import ZONES, _partitions
 
 HOUR = 3600
 
@@ -199,42 +201,58 @@ def test_a_batch_run_again_replaces_its_first_try(replay, spark):
     table = replay.config.table("again", "rows")
     schema = schemas.USERS
     ensure_batch_table(spark, table, schema, warehouse=replay.config.warehouse)
-    overwrite_batch(spark.createDataFrame([("a", "1"), ("b", "1")], schema), table, 0)
-    overwrite_batch(spark.createDataFrame([("c", "1")], schema), table, 1)
-    overwrite_batch(spark.createDataFrame([("a", "2")], schema), table, 0)
-    assert rows(spark.table(table)) == Counter([("a", "2"), ("c", "1")])
-    overwrite_batch(spark.createDataFrame([], schema), table, 0)
-    assert rows(spark.table(table)) == Counter([("c", "1")])
+    overwrite_batch(spark.createDataFrame([("a", "1"), ("b", "1")], schema), table, 0, "stream_x")
+    overwrite_batch(spark.createDataFrame([("c", "1")], schema), table, 1, "stream_x")
+    overwrite_batch(spark.createDataFrame([("d", "1")], schema), table, 0, "stream_y")
+    overwrite_batch(spark.createDataFrame([("a", "2")], schema), table, 0, "stream_x")
+    assert rows(spark.table(table)) == Counter([("a", "2"), ("c", "1"), ("d", "1")])
+    overwrite_batch(spark.createDataFrame([], schema), table, 0, "stream_x")
+    assert rows(spark.table(table)) == Counter([("c", "1"), ("d", "1")])
 
 
-def test_merging_batches_keeps_the_rows_and_survives_a_crash(replay, spark):
+def test_merging_batches_keeps_the_rows_and_survives_a_crash(replay, spark, monkeypatch):
     table = replay.config.table("merge", "users")
-    ensure_batch_table(spark, table, schemas.USERS, warehouse=replay.config.warehouse)
+    warehouse = replay.config.warehouse
+    ensure_batch_table(spark, table, schemas.USERS, warehouse=warehouse)
     expected = Counter()
 
-    def write(batch_id):
-        overwrite_batch(spark.createDataFrame([(f"u{batch_id}", "n")], schemas.USERS), table, batch_id)
-        expected[(f"u{batch_id}", "n")] += 1
+    def write(batch_id, run="stream_old"):
+        overwrite_batch(spark.createDataFrame([(f"u{run}{batch_id}", "n")], schemas.USERS), table, batch_id, run)
+        expected[(f"u{run}{batch_id}", "n")] += 1
 
-    def partitions():
-        return {int(r["partition"].partition("=")[2]) for r in spark.sql(f"SHOW PARTITIONS {table}_batches").collect()}
+    def single():
+        return {p for p in _partitions(spark, f"{table}_batches") if not p[0].startswith("merged_")}
 
     merge_batches(spark, table)
     for batch_id in range(4):
         write(batch_id)
     merge_batches(spark, table)
     assert rows(spark.table(table)) == expected
-    write(4)
-    # A run that stops before it replaces the view leaves a partition nobody reads.
-    spark.sql(f"INSERT OVERWRITE TABLE {table}_batches PARTITION (batch_id = -4) SELECT 'u3', 'n'")
+    # A new checkpoint counts from 0 again.
+    for batch_id in range(2):
+        write(batch_id, "stream_new")
+    append_table(spark.createDataFrame([("backfill", "n")], schemas.USERS), table, schemas.USERS, warehouse=warehouse)
+    expected[("backfill", "n")] += 1
     assert rows(spark.table(table)) == expected
-    write(5)
-    merge_batches(spark, table)
-    ensure_batch_table(spark, table, schemas.USERS, warehouse=replay.config.warehouse)
+
+    def crash(*args):
+        raise RuntimeError("before the view is replaced")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(sinks, "_publish_view", crash)
+        with pytest.raises(RuntimeError):
+            merge_batches(spark, table)
     assert rows(spark.table(table)) == expected
+    for _ in range(3):
+        merge_batches(spark, table)
+        ensure_batch_table(spark, table, schemas.USERS, warehouse=warehouse)
+        assert rows(spark.table(table)) == expected
+    assert single() == {("stream_old", 3), ("stream_new", 1)}
+    write(4, "stream_old")
+    merge_batches(spark, table)
     merge_batches(spark, table)
-    assert partitions() == {-3, -5, 5}
     assert rows(spark.table(table)) == expected
+    assert single() == {("stream_old", 4), ("stream_new", 1)}
     assert spark.table(table).columns == schemas.USERS.names
 
 
@@ -268,27 +286,54 @@ def test_zones(spark):
     assert set(ZONES) <= {d.name for d in spark.catalog.listDatabases()}
 
 
-def test_a_table_has_one_writer(spark, replay, work_dir):
-    """A second writer that the file sink would hide, or be hidden by, is refused."""
+def test_backfills_streams_and_new_checkpoints_share_a_table(spark, replay, work_dir):
     config = replay.config
-    rows = spark.createDataFrame([("u1", "n1")], schemas.USERS)
-    folder = f"{work_dir}/input"
-    rows.write.parquet(folder)
-    stream = spark.readStream.schema(schemas.USERS).parquet(folder)
 
-    def run(table, checkpoint):
-        append_stream(stream, table, schemas.USERS, f"{work_dir}/{checkpoint}", None, warehouse=config.warehouse).awaitTermination()
+    def frame(name):
+        return spark.createDataFrame([(name, "n")], schemas.USERS)
+
+    def append(table, name):
+        append_table(frame(name), table, schemas.USERS, warehouse=config.warehouse)
+
+    def stream(table, name, checkpoint):
+        folder = f"{work_dir}/input-{checkpoint}"
+        frame(name).write.mode("append").parquet(folder)
+        source = spark.readStream.schema(schemas.USERS).parquet(folder)
+        append_stream(
+            source, table, schemas.USERS, f"{work_dir}/{checkpoint}", None, warehouse=config.warehouse).awaitTermination()
+
+    def names(table):
+        return sorted(r[0] for r in spark.table(table).collect())
+
+    first, second = (config.table("shared", t) for t in ("first", "second"))
+    append(first, "b")
+    stream(first, "s", "c1")
+    assert names(first) == ["b", "s"]
+    stream(second, "s", "c2")
+    append(second, "b")
+    stream(second, "s2", "c3")
+    stream(second, "t", "c2")
+    assert names(second) == ["b", "s", "s2", "t"]
+    merge_batches(spark, second)
+    stream(second, "s4", "c4")
+    merge_batches(spark, second)
+    stream(second, "u", "c2")
+    assert names(second) == ["b", "s", "s2", "s4", "t", "u"]
+
+
+def test_a_new_enrichment_checkpoint_keeps_the_old_rows(replay):
+    replay.products(("p1", "one", "d", "$1"))
+    replay.add("clicks", click("c1", "u", 0))
+    replay.drain(enrich)
+    replay.config.checkpoint_root += "-new"
+    replay.drain(enrich)
+    assert rows(replay.table("enriched_clicks").select("click_id")) == Counter({("c1",): 2})
 
-    batch, streamed = f"{config.database_prefix}w.batch", f"{config.database_prefix}w.streamed"
-    append_table(rows, batch, schemas.USERS, warehouse=config.warehouse)
-    with pytest.raises(ValueError):
-        run(batch, "c1")
-    run(streamed, "c2")
-    run(streamed, "c2")
-    with pytest.raises(ValueError):
-        run(streamed, "c3")
+
+def test_a_plain_table_of_the_name_is_refused(replay, spark):
+    table = replay.config.table("plain", "users")
+    ensure_table(spark, table, schemas.USERS, warehouse=replay.config.warehouse)
     with pytest.raises(ValueError):
-        append_table(rows, streamed, schemas.USERS, warehouse=config.warehouse)
+        ensure_batch_table(spark, table, schemas.USERS, warehouse=replay.config.warehouse)
     with pytest.raises(ValueError):
-        ensure_batch_table(spark, batch, schemas.USERS, warehouse=config.warehouse)
-    assert spark.table(batch).count() == spark.table(streamed).count() == 1
+        append_table(spark.createDataFrame([("u", "n")], schemas.USERS), table, schemas.USERS)
