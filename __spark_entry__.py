@@ -391,7 +391,6 @@ def oracle_sql() -> dict[str, str]:
     )
     pairs_1h, pairs_24h = _interval_sql("1 HOUR"), _interval_sql("24 HOURS")
 
-
     def enriched_by(writers: int) -> str:
         copies = " UNION ALL ".join(["SELECT * FROM clicks"] * writers)
         return _enrich_sql(f"({copies})")
