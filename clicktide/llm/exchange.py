@@ -81,18 +81,42 @@ def by_shard(shards: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]
     return order, [(int(ordered[a]), int(a), int(b)) for a, b in zip(starts, ends)]
 
 
-def asked_rows(keys: np.ndarray, shards: np.ndarray, block: int) -> pa.Table:
+def planes(values: np.ndarray) -> bytes:
+    """All first bytes of the values, then all second ones and so on: like bytes lie together and compress well."""
+    return values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+
+
+def from_planes(data: bytes, dtype: str) -> np.ndarray:
+    size = np.dtype(dtype).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(dtype).ravel()
+
+
+def steps(keys: np.ndarray) -> bytes:
+    """Sorted keys as the planes of their differences."""
+    return planes(np.diff(keys, prepend=np.uint64(0)))
+
+
+def from_steps(data: bytes) -> np.ndarray:
+    return np.cumsum(from_planes(data, "u8"), dtype=np.uint64)
+
+
+def asked_rows(
+    keys: np.ndarray, shards: np.ndarray, block: int, pack: Callable[[np.ndarray], bytes] = np.ndarray.tobytes,
+) -> pa.Table:
     """One row per shard with the block's keys for it."""
     order, spans = by_shard(shards)
     keys = keys[order]
     return pa.table({
         "shard": pa.array([s for s, _, _ in spans], pa.int32()),
         "block": pa.array([block] * len(spans), pa.int32()),
-        "keys": pa.array([keys[a:b].tobytes() for _, a, b in spans], pa.binary()),
+        "keys": pa.array([pack(keys[a:b]) for _, a, b in spans], pa.binary()),
     })
 
 
-def replies_in_order(keys: np.ndarray, shards: np.ndarray, replies: pa.Table, dtype: str) -> np.ndarray:
+def replies_in_order(
+    keys: np.ndarray, shards: np.ndarray, replies: pa.Table, dtype: str,
+    unpack: Callable[[bytes, str], np.ndarray] = np.frombuffer,
+) -> np.ndarray:
     """Replies to ``asked_rows(keys, shards, ...)``, one value per key."""
     out = np.zeros(len(keys), dtype)
     order, spans = by_shard(shards)
@@ -100,7 +124,7 @@ def replies_in_order(keys: np.ndarray, shards: np.ndarray, replies: pa.Table, dt
     for shard, reply in zip(replies["shard"].to_pylist(), replies["reply"].to_pylist()):
         if shard in where:
             a, b = where[shard]
-            out[order[a:b]] = np.frombuffer(reply, dtype)
+            out[order[a:b]] = unpack(reply, dtype)
     return out
 
 

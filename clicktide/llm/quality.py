@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from clicktide.llm import bytegrams
 from clicktide.llm.bytegrams import CONTEXT
 from clicktide.llm.exchange import (
-    ASKED, BLOCK_BYTES, REPLIES, asked_rows, block_number, blocks_of, counts_of, pieces, replies_in_order,
-    sharded_counts, small, written,
+    ASKED, BLOCK_BYTES, REPLIES, asked_rows, block_number, blocks_of, counts_of, from_planes, from_steps, pieces,
+    planes, replies_in_order, sharded_counts, small, steps, written,
 )
 
 # Ids of trusted documents are broadcast up to this many (8 bytes each), and joined by shuffle beyond.
@@ -137,19 +137,19 @@ def _grams(texts: list[bytes]) -> np.ndarray:
 def _asker(n_shards: int) -> Callable:
     def ask(key: tuple, table: pa.Table) -> pa.Table:
         grams = _grams(table["_text"].to_pylist())
-        return asked_rows(grams, bytegrams.shard_of(grams, n_shards), block_number(key))
+        return asked_rows(grams, bytegrams.shard_of(grams, n_shards), block_number(key), steps)
 
     return ask
 
 
 def _answerer(top: dict[int, Order], discounts: dict[int, np.ndarray]) -> Callable:
     def answer(key: tuple, asked: pa.Table, model: pa.Table) -> pa.Table:
-        blobs = [np.frombuffer(k, np.uint64) for k in asked["keys"].to_pylist()]
+        blobs = [from_steps(k) for k in asked["keys"].to_pylist()]
         distinct = np.unique(np.concatenate(blobs)) if blobs else np.empty(0, np.uint64)
         values = log_probabilities(distinct, {**top, **orders_of(*counts_of(model))}, discounts).astype(np.float32)
         return pa.table({
             "shard": asked["shard"], "block": asked["block"],
-            "reply": pa.array([values[np.searchsorted(distinct, b)].tobytes() for b in blobs], pa.binary()),
+            "reply": pa.array([planes(values[np.searchsorted(distinct, b)]) for b in blobs], pa.binary()),
         })
 
     return answer
@@ -159,7 +159,7 @@ def _measurer(n_shards: int) -> Callable:
     def measure(rows: pa.Table, replies: pa.Table) -> pa.Table:
         texts = rows["_text"].to_pylist()
         grams = _grams(texts)
-        values = replies_in_order(grams, bytegrams.shard_of(grams, n_shards), replies, "f4").astype(np.float64)
+        values = replies_in_order(grams, bytegrams.shard_of(grams, n_shards), replies, "f4", from_planes).astype(np.float64)
         logs, sizes = [np.empty(0)], [np.empty(0, np.int64)]
         for a, b in pieces(texts):
             keys, lengths = bytegrams.keys_of(texts[a:b])
