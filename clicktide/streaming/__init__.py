@@ -10,9 +10,10 @@ from clicktide.streaming.sinks import (
     merge_batches,
     overwrite_batch,
 )
-from clicktide.streaming.supervise import await_all, rows_dropped_late
+from clicktide.streaming.supervise import LateRows, await_all, rows_dropped_late
 
 __all__ = [
+    "LateRows",
     "append_batches",
     "append_stream",
     "append_table",

@@ -15,6 +15,7 @@ from clicktide.streaming import (
     append_stream,
     append_table,
     await_all,
+    LateRows,
     create_zones,
     ensure_batch_table,
     ensure_table,
@@ -101,6 +102,22 @@ def test_late_clicks_are_dropped_and_counted(replay):
         ("p1", at(0), at(5), 1), ("p1", at(20_000), at(20_005), 2)])
 
 
+def test_late_clicks_are_counted_over_more_batches_than_are_reported(replay, spark):
+    key = "spark.sql.streaming.numRecentProgressUpdates"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "2")
+    late = LateRows.watching(spark)
+    try:
+        for s in (20_000, 20_001, 1, 2, 3, 20_002, 20_003):
+            replay.add("clicks", click(f"c{s}", "u", s))
+        query, = replay.drain(product_clicks)
+        assert rows_dropped_late(query) < 3
+        assert late.total(query) == 3
+    finally:
+        spark.streams.removeListener(late)
+        spark.conf.set(key, before)
+
+
 def test_sessions_wait_for_the_slower_input(replay):
     replay.add("clicks", click("c1", "u", 0))
     replay.add("clicks", click("c2", "v", 20_000))
