@@ -136,7 +136,7 @@ def _confirm(key: tuple, rows: pa.Table) -> pa.Table:
     for node, hub_of, text in table:
         elements = shingles(text, hashes)
         if node_of(elements) != node:
-            continue  # another row with the same id
+            continue  # another row with the same row_id
         if node == hub_of:
             hub, hub_set = node, elements
         else:
@@ -150,20 +150,25 @@ def _confirm(key: tuple, rows: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array([hub] * len(links), pa.int64()), "b": pa.array(links, pa.int64())})
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame, ids: DataFrame) -> DataFrame:
+def confirmed(pairs: DataFrame, texts: DataFrame, ids: DataFrame, repeated: bool) -> DataFrame:
     """The pairs (a, b) that are links on full sets. Each hub a is copied once per MEMBERS_PER_HUB members."""
     groups = pairs.groupBy("a").agg(F.ceil(F.count("*") / MEMBERS_PER_HUB).alias("_n"))
     dealt = pairs.join(groups, "a").select(
         "a", "b", F.xxhash64("a", F.pmod(F.xxhash64("b"), F.col("_n"))).alias("gid"))
     needed = (dealt.select("gid", F.col("a").alias("hub"), F.col("b").alias("node"))
               .unionByName(dealt.select("gid", F.col("a").alias("hub"), F.col("a").alias("node")).distinct()))
-    return _with_texts(needed, texts, ids).groupBy("gid").applyInArrow(_confirm, "a long, b long").distinct()
+    return _with_texts(needed, texts, ids, repeated).groupBy("gid").applyInArrow(_confirm, "a long, b long").distinct()
 
 
-def _with_texts(needed: DataFrame, texts: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows (gid, node, ...) with the text of the node's smallest doc_id."""
-    needed = small(written(needed.join(ids, "node").withColumnRenamed("rep", "_rep"), "to-confirm"), BROADCAST_ROWS)
-    return texts.select("doc_id", "_text").join(needed, texts["doc_id"].eqNullSafe(needed["_rep"])).drop("doc_id", "_rep")
+def _with_texts(needed: DataFrame, texts: DataFrame, ids: DataFrame, repeated: bool) -> DataFrame:
+    """Rows (gid, node, ...), each with one text of the node: that of its smallest row_id."""
+    needed = written(needed.join(ids, "node").withColumnRenamed("rep", "_rep"), "to-confirm")
+    once = texts.select("row_id", "_text")
+    if repeated:
+        wanted = small(needed.select("_rep").distinct(), BROADCAST_ROWS)
+        once = once.join(wanted, F.col("row_id") == F.col("_rep"), "left_semi").groupBy("row_id").agg(
+            F.first("_text").alias("_text"))
+    return once.join(small(needed, BROADCAST_ROWS), F.col("row_id") == F.col("_rep")).drop("row_id", "_rep")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -253,7 +258,7 @@ def _confirm_partners(key: tuple, rows: pa.Table) -> pa.Table:
     for node, text in zip(nodes, texts):
         if node not in sets:
             elements = shingles(text, hashes)
-            if node_of(elements) == node:  # else another row with the same id
+            if node_of(elements) == node:  # else another row with the same row_id
                 sets[node], group[node] = elements, node
     links = []
     for node, own in zip(nodes, partners):
@@ -283,18 +288,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     texts = docs.select("doc_id", row_key(docs).alias("row_id"), F.coalesce("text", F.lit("")).cast("binary").alias("_text"))
     all_rows = written(texts.mapInArrow(_sketched, SKETCHED), "sketches")
     rows = all_rows.where("n_shingles > 0")
-    ids = rows.groupBy("node").agg(F.min("doc_id").alias("rep"))
+    ids = rows.groupBy("node").agg(F.min("row_id").alias("rep"))
+    repeated = rows.groupBy("row_id").count().where("count > 1").limit(1).count() > 0
     sets = written(rows.select("node", "sketch", "bands").dropDuplicates(["node"]), "sets")
     banded = rows.select("node", F.explode("bands").alias("bucket"))
     hubs = (banded.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("_last"))
             .where("hub <> _last").select("bucket", "hub"))
     members = written(banded.join(hubs, "bucket").select("bucket", "node", "hub"), "buckets")
     stars = members.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    links = written(confirmed(written(alike(stars, sets), "pairs"), texts, ids), "confirmed")
+    links = written(confirmed(written(alike(stars, sets), "pairs"), texts, ids, repeated), "confirmed")
     labels = components(links)
     rest = written(_open_tiles(members.select("bucket", "node").distinct(), labels, sets), "tiles")
     if rest.limit(1).count():
-        more = _with_texts(rest, texts, ids).groupBy("gid").applyInArrow(_confirm_partners, "a long, b long")
+        more = _with_texts(rest, texts, ids, repeated).groupBy("gid").applyInArrow(_confirm_partners, "a long, b long")
         links = links.unionByName(written(more, "confirmed"))
         labels = components(links)
     found = all_rows.select("doc_id", "row_id", "n_shingles", "node").join(labels, "node", "left").withColumn(

@@ -320,6 +320,27 @@ def test_near_duplicates_by_brute_force(spark, hostile, nothing):
     assert minhash.near_duplicates(nothing).count() == 0
 
 
+def test_one_text_arrives_for_each_set_to_confirm(spark, monkeypatch):
+    """Null ids, a shared id and repeated rows bring no text twice into a group."""
+    rng = random.Random(13)
+    rows = []
+    for i in range(40):
+        words = prose(80, 100 + i).split()
+        changed = [*words[:40], f"w{rng.randrange(10**6)}", *words[41:]]
+        rows += [(None, " ".join(words)), (None, " ".join(changed)), (7, prose(60, 300 + i)), (None, " ".join(words))]
+    arrived, fetch = [], minhash._with_texts
+
+    def counted(needed, *rest):
+        out = fetch(needed, *rest)
+        arrived.append((out.count(), needed.count()))
+        return out
+
+    monkeypatch.setattr(minhash, "_with_texts", counted)
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert arrived and all(a == n for a, n in arrived)
+    assert len(got) == len(rows) and len({r.component for r in got}) == 80
+
+
 # ---- 5: fingerprints -------------------------------------------------------------------------------
 
 
