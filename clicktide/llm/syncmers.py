@@ -3,8 +3,8 @@
 Units are words (cut every UNIT characters, so that text without spaces has units too). Of every run of K = 4 units
 the inner runs of S = 2 units are hashed; the run is a closed syncmer if the least of its three inner hashes is its
 first or its last. Whether a run is chosen depends on the run alone, so equal passages choose equal anchors wherever
-they stand. A fingerprint is the KEPT least hashes of a text's distinct syncmers, in hexadecimal; the likeness of two
-fingerprints estimates the Jaccard similarity of the syncmer sets.
+they stand. A fingerprint is all of a text's anchors, each with its position; the likeness of two fingerprints is that
+of the anchors that match in consistent order.
 """
 
 from __future__ import annotations
@@ -19,7 +19,6 @@ from clicktide.llm.exchange import written
 
 K, S = 4, 2
 UNIT = 16
-KEPT = 64
 RANGE_ROWS = 20_000
 
 
@@ -53,18 +52,93 @@ def anchors(text: Column) -> Column:
 
 
 def fingerprint(text: Column) -> Column:
-    """The KEPT least distinct hashes, sorted."""
-    return F.slice(F.sort_array(F.array_distinct(F.transform(anchors(text), lambda a: a["hash"]))), 1, KEPT)
+    """All anchors in the order of the text."""
+    return anchors(text)
 
 
 def spelled(fp: Column) -> Column:
-    return F.array_join(F.transform(fp, lambda h: F.lpad(F.lower(F.hex(h)), 16, "0")), "")
+    """Each anchor as 16 hexadecimal digits of its hash and its position in hexadecimal, with commas between anchors."""
+    return F.array_join(F.transform(fp, lambda a: F.concat(
+        F.lpad(F.lower(F.hex(a["hash"])), 16, "0"), F.lower(F.hex(a["position"])))), ",")
+
+
+def _numbered(fp: Column, side: int) -> Column:
+    """Anchors by hash and, among equal hashes, by position: array<struct<hash, nth, side, position>>."""
+    return _let(F.sort_array(F.transform(fp, lambda a: F.struct(a["hash"].alias("hash"), a["position"].alias("position")))), lambda s: _let(
+        # Where each run of equal hashes starts, and the end.
+        F.filter(F.transform(F.sequence(F.lit(0), F.size(s)), lambda i: F.when(
+            (i == 0) | (i == F.size(s)), i).when(s[i]["hash"] != s[i - 1]["hash"], i)), lambda i: i.isNotNull()),
+        lambda starts: _let(
+            F.flatten(F.transform(
+                F.sequence(F.lit(0), F.size(starts) - 2),
+                lambda j: F.sequence(F.lit(0), starts[j + 1] - starts[j] - 1))),
+            lambda nth: F.transform(s, lambda a, i: F.struct(
+                a["hash"].alias("hash"), nth[i].alias("nth"), F.lit(side).alias("side"), a["position"].alias("position"))))))
+
+
+def _matched(a: Column, b: Column) -> Column:
+    """Positions in ``b`` of the anchors of both, in the order of ``a``; the nth of equal hashes matches the nth."""
+    return _let(F.sort_array(F.concat(_numbered(a, 0), _numbered(b, 1))), lambda u: F.transform(
+        F.sort_array(F.filter(
+            F.transform(F.sequence(F.lit(0), F.size(u) - 2), lambda i: F.when(
+                (u[i]["hash"] == u[i + 1]["hash"]) & (u[i]["nth"] == u[i + 1]["nth"]),
+                F.struct(u[i]["position"].alias("in_a"), u[i + 1]["position"].alias("in_b")))),
+            lambda m: m.isNotNull())),
+        lambda m: m["in_b"]))
+
+
+def _below(tails: Column, x: Column) -> Column:
+    """How many of the rising ``tails`` are below ``x``, by binary search."""
+    def halved(r: Column, _: Column) -> Column:
+        middle = F.shiftright(r["low"] + r["high"], 1)
+        return F.when(r["low"] >= r["high"], r).when(
+            tails[middle] < x, F.struct((middle + 1).alias("low"), r["high"].alias("high"))
+        ).otherwise(F.struct(r["low"].alias("low"), middle.alias("high")))
+
+    return F.aggregate(
+        F.sequence(F.lit(1), F.ceil(F.log2(F.size(tails) + 1)).cast("int")),
+        F.struct(F.lit(0).alias("low"), F.size(tails).alias("high")), halved, lambda r: r["low"])
+
+
+def _longest_rise(values: Column) -> Column:
+    """Length of the longest rising subsequence."""
+    def put(tails: Column, x: Column) -> Column:
+        return F.when(F.size(tails) == 0, F.array(x)).when(
+            F.element_at(tails, -1) < x, F.concat(tails, F.array(x))
+        ).otherwise(_let(_below(tails, x), lambda n: F.concat(
+            F.slice(tails, F.lit(1), n), F.array(x), F.slice(tails, n + 2, F.size(tails)))))
+
+    return F.aggregate(values, F.array().cast("array<int>"), put, lambda tails: F.size(tails))
+
+
+def _same_head(a: Column, b: Column) -> Column:
+    """How many anchors from the first on have equal hashes; both have anchors."""
+    least = F.least(F.size(a), F.size(b))
+    return F.coalesce(F.array_min(F.transform(F.sequence(F.lit(0), least - 1), lambda i: F.when(
+        a[i]["hash"] != b[i]["hash"], i))), least)
+
+
+def _in_order(a: Column, b: Column) -> Column:
+    """How many anchors match in consistent order."""
+    def hashes(x: Column) -> Column:
+        return F.transform(x, lambda y: y["hash"])
+
+    def only(x: Column, common: Column) -> Column:
+        # A saving alone: anchors of other hashes match nothing.
+        return F.when(F.size(common) * 8 < F.size(x), F.filter(
+            x, lambda y: F.array_contains(common, y["hash"]))).otherwise(x)
+
+    return _let(F.array_intersect(hashes(a), hashes(b)), lambda common: F.when(F.size(common) == 0, F.lit(0)).otherwise(
+        _let(only(a, common), lambda x: _let(only(b, common), lambda y: _longest_rise(_matched(x, y))))))
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Share of the KEPT least hashes of both that both have; 1 for two empty fingerprints."""
-    return _let(F.slice(F.sort_array(F.array_union(a, b)), 1, KEPT), lambda u: F.when(F.size(u) == 0, F.lit(1.0)).otherwise(
-        F.size(F.array_intersect(u, F.array_intersect(a, b))) / F.size(u)))
+    """Anchors that match in consistent order, as a share of all of both; 1 for two empty fingerprints."""
+    sizes = F.size(a) + F.size(b)
+    # The same head matches itself, so only what follows it is searched.
+    return F.when(sizes == 0, F.lit(1.0)).when((F.size(a) == 0) | (F.size(b) == 0), F.lit(0.0)).otherwise(
+        _let(_same_head(a, b), lambda head: _let(
+            head + _in_order(F.slice(a, head + 1, F.size(a)), F.slice(b, head + 1, F.size(b))), lambda n: n / (sizes - n))))
 
 
 def _following(ids: DataFrame, n: int) -> DataFrame:
@@ -98,21 +172,22 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     """
     text = F.coalesce("text", F.lit(""))
     texts = docs.select("doc_id", F.xxhash64("doc_id", text).alias("key"), text.alias("_text"))
-    printed = texts.select("doc_id", "key", "_text", fingerprint(F.col("_text")).alias("_print"))
     ids = texts.select("doc_id", "key", F.length("_text").alias("n_chars"))
     distinct = ids.distinct()
     n, n_distinct = ids.count(), distinct.count()
     after = written(_following(distinct, n_distinct), "following")
     sent = after.join(
-        printed, (F.col("_next.key") == F.col("key")) & F.col("_next.doc_id").eqNullSafe(F.col("doc_id"))
-    ).select("_of", "_of_key", "_cut", F.expr("substring(_text, 1, _cut)").alias("_head"), F.col("_print").alias("_next_print"))
+        texts, (F.col("_next.key") == F.col("key")) & F.col("_next.doc_id").eqNullSafe(F.col("doc_id"))
+    ).select("_of", "_of_key", "_cut", F.col("_text").alias("_next_text"))
     if n != n_distinct:
         sent = sent.dropDuplicates(["_of", "_of_key"])
-    both = printed.join(sent, (F.col("key") == F.col("_of_key")) & F.col("doc_id").eqNullSafe(F.col("_of")))
+    both = texts.join(sent, (F.col("key") == F.col("_of_key")) & F.col("doc_id").eqNullSafe(F.col("_of")))
     edited = both.select(
-        "doc_id", F.length("_text").cast("long").alias("n_chars"), "_print", "_next_print",
-        F.concat(F.expr("substring(_text, 1, length(_text) - _cut)"), F.col("_head")).alias("_edited"))
-    done = edited.select("*", fingerprint(F.col("_edited")).alias("_edited_print"))
+        "doc_id", F.length("_text").cast("long").alias("n_chars"), "_text", "_next_text",
+        F.expr("concat(substring(_text, 1, length(_text) - _cut), substring(_next_text, 1, _cut))").alias("_edited"))
+    done = edited.select(
+        "doc_id", "n_chars", "_edited", fingerprint(F.col("_text")).alias("_print"),
+        fingerprint(F.col("_edited")).alias("_edited_print"), fingerprint(F.col("_next_text")).alias("_next_print"))
     return done.select(
         "doc_id", "n_chars", F.sha2("_edited", 256).alias("edited_sha256"), spelled(F.col("_print")).alias("fingerprint"),
         spelled(F.col("_edited_print")).alias("edited_fingerprint"),

@@ -1,5 +1,6 @@
 """Operators of clicktide.llm against brute force, on the sf0.01 tables and on small hostile ones."""
 
+import bisect
 import hashlib
 import math
 import random
@@ -378,6 +379,34 @@ def test_anchors_do_not_depend_on_their_surroundings(spark):
     assert len(alone) > 20 and alone <= within
 
 
+def test_likeness_follows_order_and_all_anchors(spark):
+    """The longest common order of matched anchors, by plain Python; shared passages count in long texts too."""
+    first, second = prose(150, 21), prose(150, 22)
+    passage = " ".join(f"shared{i}" for i in range(100))
+    far = [" ".join(f"{side}{i}" for i in range(20_000)) for side in "lr"]
+    pairs = [
+        (first + " " + second, second + " " + first), (first, first + " inserted " + second), (first, first), ("", ""),
+        (first, ""), ("same " * 300, "same " * 200), (far[0] + " " + passage, passage + " " + far[1]), ("one", "one two")]
+    docs = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "i int, a string, b string")
+    prints = docs.select("i", syncmers.fingerprint(F.col("a")).alias("a"), syncmers.fingerprint(F.col("b")).alias("b"))
+    got = {}
+    for r in prints.select("*", syncmers.likeness(F.col("a"), F.col("b")).alias("like")).collect():
+        where, seen_a, seen_b, tails = {}, Counter(), Counter(), []
+        for x in r.b:
+            where[x.hash, seen_b[x.hash]] = x.position
+            seen_b[x.hash] += 1
+        for x in r.a:
+            at = where.get((x.hash, seen_a[x.hash]))
+            seen_a[x.hash] += 1
+            if at is not None:
+                n = bisect.bisect_left(tails, at)
+                tails[n:n + 1] = [at]
+        total = len(r.a) + len(r.b)
+        assert r.like == pytest.approx(len(tails) / (total - len(tails)) if total else 1)
+        got[r.i] = r.like
+    assert got[0] < 0.6 and got[2] == got[3] == 1 and got[4] == 0 and 0 < got[6] < 0.01
+
+
 # ---- 6: substrings ---------------------------------------------------------------------------------
 
 
