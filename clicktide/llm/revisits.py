@@ -63,32 +63,34 @@ def resolve(captures: DataFrame) -> DataFrame:
     Repeated revisits are resolved each, of repeated responses one is taken; other columns are ignored; an empty table
     gives an empty result.
     """
+    # The row key is written before use, so that it stays the same wherever the rows are read.
     rows = written(captures.select(
-        "record_id", canonical_url(F.col("url")).alias("url"), F.unix_micros(F.col("ts").cast("timestamp")).alias("at"), "status",
+        F.monotonically_increasing_id().alias("_row"), "record_id", canonical_url(F.col("url")).alias("url"), F.unix_micros(F.col("ts").cast("timestamp")).alias("at"), "status",
         "headers", "digest"), "captures")
     narrow = rows.where("status IN (200, 304) AND url IS NOT NULL AND at IS NOT NULL").select(
-        "record_id", "url", "at", "status")
+        "_row", "record_id", "url", "at", "status",
+        F.xxhash64("digest", F.array_sort(F.map_entries("headers"))).alias("_content"))
     binned = narrow.withColumn("_bin", _bins(narrow))
-    full = F.when(F.col("status") == 200, F.struct("at", "record_id"))
+    # Of equal times and ids the content decides, so that it does not matter how rows were read; null ids count as least.
+    full = F.when(F.col("status") == 200, F.struct("at", "record_id", "_content", "_row"))
     by_bin = Window.partitionBy("url").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
     carried = binned.groupBy("url", "_bin").agg(F.max(full).alias("_last")).select(
         "url", "_bin", F.max("_last").over(by_bin).alias("_carried"))
     earlier = Window.partitionBy("url", "_bin").orderBy("at").rangeBetween(Window.unboundedPreceding, -1)
     matched = (
         binned.withColumn("_near", F.max(full).over(earlier)).where("status = 304").join(carried, ["url", "_bin"])
-        .select(F.col("record_id").alias("_revisit"), F.coalesce("_near", "_carried")["record_id"].alias("response_id"))
-        .dropDuplicates(["_revisit"])
+        .select(F.col("_row").alias("_revisit"), F.coalesce("_near", "_carried").alias("_found"))
+        .select("_revisit", F.col("_found.record_id").alias("response_id"), F.col("_found._row").alias("_response"))
     )
     stored = rows.where("status = 200").select(
-        F.col("record_id").alias("_stored"), F.col("headers").alias("_kept"), F.col("digest").alias("_digest")
-    ).dropDuplicates(["_stored"])
-    joined = (rows.where("status = 304").select("record_id", "url", "headers")
-              .join(matched, F.col("record_id") == F.col("_revisit"), "left")
-              .join(stored, F.col("response_id") == F.col("_stored"), "left"))
+        F.col("_row").alias("_stored"), F.col("headers").alias("_kept"), F.col("digest").alias("_digest"))
+    joined = (rows.where("status = 304").select("_row", "record_id", "url", "headers")
+              .join(matched, F.col("_row") == F.col("_revisit"), "left")
+              .join(stored, F.col("_response") == F.col("_stored"), "left"))
     tags = _strong(F.col("headers")["etag"]), _strong(F.col("_kept")["etag"])
     dates = F.col("headers")["last-modified"], F.col("_kept")["last-modified"]
     same = F.coalesce(tags[0] == tags[1], dates[0] == dates[1])
-    outcome = (F.when(F.col("response_id").isNull(), "no_response").when(same.isNull(), "no_validator")
+    outcome = (F.when(F.col("_response").isNull(), "no_response").when(same.isNull(), "no_validator")
                .when(same, "resolved").otherwise("mismatch"))
     permitted = F.map_filter("headers", lambda name, _: name.isin(*PERMITTED))
     merged = F.map_concat(

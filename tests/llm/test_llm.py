@@ -532,6 +532,20 @@ def test_revisits_in_many_bins(spark, monkeypatch):
             assert got[i] == (max(before)[1] if before else None)
 
 
+def test_revisits_of_one_or_no_record_id(spark):
+    """Revisits that share a record_id, or have none, get each the response of their own URL and time."""
+    rows = [(1, "http://a/", 1, 200, "1"), (1, "http://b/", 2, 200, "2"), (None, "http://c/", 3, 200, "3"),
+            (9, "http://a/", 5, 304, "1"), (9, "http://b/", 5, 304, "2"), (9, "http://b/", 1, 304, "2"),
+            (None, "http://a/", 6, 304, "1"), (None, "http://c/", 6, 304, "3")]
+    captures = spark.createDataFrame(rows, "record_id long, url string, s long, status int, e string").select(
+        "record_id", "url", F.timestamp_seconds("s").alias("ts"), "status",
+        F.create_map(F.lit("etag"), F.col("e")).alias("headers"), F.concat(F.lit("d"), "e").alias("digest"))
+    got = Counter((r.record_id, r.url, r.response_id, r.outcome, r.digest) for r in revisits.resolve(captures).collect())
+    assert got == Counter([
+        (9, "a/", 1, "resolved", "d1"), (9, "b/", 1, "resolved", "d2"), (9, "b/", None, "no_response", None),
+        (None, "a/", 1, "resolved", "d1"), (None, "c/", None, "resolved", "d3")])
+
+
 # ---- 9: top-k --------------------------------------------------------------------------------------
 
 
