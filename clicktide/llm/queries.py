@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clicktide.llm import (
-    ctw, minhash, mixing, packing, quality, revisits, substrings, syncmers, token_counts, topk,
+    alignment, ctw, minhash, mixing, packing, quality, revisits, secret_scan, substrings, syncmers, token_counts, topk, trie,
 )
 from clicktide.session import configure
 
@@ -67,6 +67,26 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ctw.score_documents(docs, held_out)
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+    counts = [
+        F.size(F.filter("known", lambda s: s["rank"] == rank)).cast("long").alias(f"n_{kind}")
+        for rank, kind in enumerate(secret_scan.kinds_of_patterns())]
+    every = F.array_sort(F.concat("known", "added"))
+    return found.select(
+        "doc_id", *counts, F.sha2(secret_scan.listed(F.col("known")).cast("binary"), 256).alias("base_sha256"),
+        secret_scan.listed(every).alias("spans"))
+
+
+def op12_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"))[0]
+
+
+def op13_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations")).select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_retrieval_packing": op1_retrieval_packing,
@@ -79,6 +99,9 @@ def queries() -> dict[str, Query]:
         "op8_revisit_resolution": op8_revisit_resolution,
         "op9_exact_top_k": op9_exact_top_k,
         "op10_lm_scoring": op10_lm_scoring,
+        "op11_secret_scan": op11_secret_scan,
+        "op12_cross_tokenizer_alignment": op12_cross_tokenizer_alignment,
+        "op13_conversation_prefix_trie": op13_conversation_prefix_trie,
     }
 
 
@@ -150,6 +173,77 @@ SELECT page_id * 2 + 1 AS record_id, url, stored * 2 AS response_id, outcome,
 FROM o"""
 
 
+
+
+def _matches_sql(kind: str, rank: int, pattern: str, group: int, least: int) -> str:
+    """Rows (doc, rank, kind, a, b, s): a match from code point a to b, s its group."""
+    quoted = "'" + pattern.replace("'", "''") + "'"
+    return f"""
+SELECT doc, {rank} AS rank, '{kind}' AS kind, b - len(f[i]) AS a, b, s[i] AS s FROM (
+  SELECT *, cast(list_sum(list_transform(g[1:i], lambda x: length(x))) + list_sum(list_transform(f[1:i], lambda x: length(x)))
+            AS bigint) AS b
+  FROM (SELECT *, unnest(range(1, len(f) + 1)) AS i FROM (
+    SELECT doc, regexp_extract_all(t, {quoted}) AS f, regexp_extract_all(t, {quoted}, {group}) AS s,
+           string_split_regex(t, {quoted}) AS g FROM d)))
+WHERE length(s[i]) >= {least}"""
+
+
+def _secrets_sql() -> str:
+    known = " UNION ALL ".join(
+        _matches_sql(kind, rank, *rest) for rank, (kind, *rest) in enumerate(secret_scan.PATTERNS))
+    allowed = " OR ".join(f"regexp_matches(s, '{p}')" for p in secret_scan.ALLOWED)
+    stretches = []
+    for rank, kind in enumerate(secret_scan.CLASSES, len(secret_scan.PATTERNS)):
+        matches = _matches_sql(kind.name, rank, kind.pattern, 0, kind.width)
+        stretches.append(f"""
+SELECT * FROM (
+  SELECT doc, rank, kind, a, s, p, {kind.width} AS width, list_sum(list_transform(list_distinct(string_split(w, '')),
+           lambda x: ({secret_scan.weights(kind.width)})[1 + length(w) - length(replace(w, x, '')) ])) AS weight
+  FROM (SELECT *, substr(s, cast(p + 1 AS bigint), {kind.width}) AS w FROM (
+    SELECT *, unnest(range(0, length(s) - {kind.width} + 1)) AS p FROM ({matches}) WHERE NOT ({allowed}))))
+WHERE weight <= {kind.most_sum}""")
+    windows = " UNION ALL ".join(stretches)
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS doc, doc_id, coalesce(text, '') AS t FROM documents),
+known AS ({known}),
+even AS ({windows}),
+islands AS (SELECT *, sum(fresh) OVER (PARTITION BY doc, rank, a ORDER BY p) AS island FROM (
+  SELECT *, CASE WHEN p <= lag(p) OVER (PARTITION BY doc, rank, a ORDER BY p) + width THEN 0 ELSE 1 END AS fresh FROM even)),
+added AS (SELECT doc, rank, kind, a + min(p) AS a, a + max(p) + any_value(width) AS b FROM islands
+          GROUP BY doc, rank, kind, islands.a, island),
+k AS (SELECT doc, count(*) FILTER (WHERE rank = 0) AS n0, count(*) FILTER (WHERE rank = 1) AS n1,
+             count(*) FILTER (WHERE rank = 2) AS n2,
+             string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, rank) AS spans FROM known GROUP BY doc),
+e AS (SELECT doc, string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, rank, b) AS spans
+      FROM (SELECT doc, rank, kind, a, b FROM known UNION ALL SELECT doc, rank, kind, a, b FROM added) GROUP BY doc)
+SELECT doc_id, coalesce(n0, 0) AS n_assign, coalesce(n1, 0) AS n_access, coalesce(n2, 0) AS n_hex,
+       sha256(coalesce(k.spans, '')) AS base_sha256, coalesce(e.spans, '') AS spans
+FROM d LEFT JOIN k USING (doc) LEFT JOIN e USING (doc)"""
+
+
+# crc32 of the decimal digits: each byte is mixed in and then eight bits are shifted out.
+_CRC32 = """xor(list_reduce(
+  flatten(list_transform(string_split(cast(t.c AS varchar), ''), lambda x: [cast(ascii(x) AS bigint)] || list_resize([-1::bigint], 8, -1))),
+  lambda r, x: CASE WHEN x >= 0 THEN xor(r, x) ELSE xor(r // 2, (r % 2) * 3988292384) END, 4294967295::bigint), 4294967295)"""
+_TRIE = f"""
+WITH RECURSIVE t AS (SELECT conv_id AS c, list({{'r': coalesce(role, ''), 't': coalesce(text, '')}} ORDER BY turn NULLS FIRST) AS own
+           FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+h AS (SELECT t.c, t.own, b.own AS base, {_CRC32} % 6 AS h FROM t LEFT JOIN t b ON b.c = t.c - t.c % 100),
+full_paths AS (SELECT c, CASE WHEN base IS NULL THEN [] ELSE base[1:h] END || own[h + 1:] AS p FROM h),
+m AS (SELECT c, d, p[1:d] AS k, len(p) AS n FROM (SELECT c, p, unnest(range(0, len(p) + 1)) AS d FROM full_paths)),
+nodes AS (SELECT k, d, min(c) AS conv_id, count(*) AS n_convs,
+                 coalesce(string_agg(cast(c AS varchar), ',' ORDER BY c) FILTER (WHERE n = d), '') AS ends FROM m GROUP BY k, d),
+kids AS (SELECT k[1:d - 1] AS k, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1),
+full_nodes AS (SELECT nodes.*, coalesce(kids.n, 0) AS n_children,
+                      CASE WHEN d = 0 THEN 0 ELSE (n_convs - 1) * length(nodes.k[d].t) END AS saved
+               FROM nodes LEFT JOIN kids ON kids.k = nodes.k),
+below AS (SELECT k[1:a] AS k, count(*) FILTER (WHERE n_children = 0) AS n_leaves, cast(sum(saved) AS bigint) AS saved_tokens
+          FROM (SELECT k, n_children, saved, unnest(range(0, d + 1)) AS a FROM full_nodes) GROUP BY 1)
+SELECT x.conv_id, x.d AS depth, u.conv_id AS parent_conv_id, x.n_convs, x.n_children, n_leaves, saved_tokens,
+       sha256(x.ends) AS ends_sha256
+FROM full_nodes x JOIN below ON below.k = x.k LEFT JOIN full_nodes u ON x.d > 0 AND u.k = x.k[1:x.d - 1]"""
+
+
 def oracle_sql() -> dict[str, str]:
     """The other operators hash, draw, tokenize or train, which SQL cannot express; tests hold them to brute force."""
     return {
@@ -157,4 +251,6 @@ def oracle_sql() -> dict[str, str]:
         "op6_substring_dedup": _SUBSTRINGS,
         "op8_revisit_resolution": _REVISITS,
         "op9_exact_top_k": _TOP_K,
+        "op11_secret_scan": _secrets_sql(),
+        "op13_conversation_prefix_trie": _TRIE,
     }
