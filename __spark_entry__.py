@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from collections.abc import Callable
 from dataclasses import replace
+from types import ModuleType
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from clicktide import schemas
 from clicktide.functions import with_event_time
@@ -16,9 +17,9 @@ from clicktide.operators import activities, activity_counts, conform, interval_j
 from clicktide.plans import checkout_clicks, enrich, product_clicks, user_sessions
 from clicktide.plans.config import JobConfig
 from clicktide.session import configure, new_work_dir
-from clicktide.sources import register_views
+from clicktide.sources import Replay, register_views
 from clicktide.sources.tables import checkouts_of, clicks_of, events_table, products_of, users_of
-from clicktide.streaming import append_stream, append_table, merge_batches
+from clicktide.streaming import LateRows, append_stream, append_table, await_all, merge_batches
 
 try:  # The training-data operators come as a package of their own, which may be left out.
     import corpus_pipeline
@@ -53,26 +54,20 @@ def _comparable(df: DataFrame) -> DataFrame:
     ])
 
 
-@contextmanager
-def _state_partitions(spark: SparkSession) -> Iterator[None]:
-    """Streams started inside get one state partition per core; the number is fixed at their first start."""
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(spark.sparkContext.defaultParallelism))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
 def _run_config(spark: SparkSession) -> JobConfig:
     """Settings of a run in databases and folders of its own, which works off its input and stops."""
     folder = new_work_dir(spark, "query")
     return JobConfig(
+        source="files",
+        event_options={"maxFilesPerTrigger": "1"},
+        dimension="files",
+        dimension_path=f"{folder}/products",
+        dimension_ttl="0 seconds",
         checkpoint_root=f"{folder}/checkpoints",
         commit_interval=None,
         database_prefix=f"run_{uuid.uuid4().hex[:12]}_",
         warehouse=f"{folder}/warehouse",
+        state_partitions=spark.sparkContext.defaultParallelism,
     )
 
 
@@ -180,10 +175,10 @@ def _drain(spark: SparkSession, rows: DataFrame, sink: str) -> DataFrame:
     config = _run_config(spark)
     database, schema = schemas.SINKS[sink]
     table = config.table(database, sink)
-    with _state_partitions(spark):
-        append_stream(
-            rows, table, schema, config.checkpoint(sink), config.commit_interval, warehouse=config.warehouse
-        ).awaitTermination()
+    append_stream(
+        rows, table, schema, config.checkpoint(sink), config.commit_interval, warehouse=config.warehouse,
+        state_partitions=config.state_partitions,
+    ).awaitTermination()
     return spark.sql(f"SELECT * FROM {table}")
 
 
@@ -251,6 +246,146 @@ def _shared_table(steps: str) -> Query:
     return query
 
 
+# ---- jobs over files in event-time order ---------------------------------------------------------
+
+
+def _replay(spark: SparkSession, sf_dir: str, config: JobConfig, kind: str, keep: Column | None = None, **layout) -> Replay:
+    """The events of a kind (those to ``keep``) as files, and ``config`` reading them, a micro-batch per step."""
+    events = _clicks(spark, sf_dir) if kind == "clicks" else _checkouts(spark, sf_dir)
+    path = f"{new_work_dir(spark, 'replay')}/{kind}"
+    replay = Replay(events if keep is None else events.where(keep), kind, path, **layout)
+    config.event_paths[kind] = replay.path
+    return replay
+
+
+def _middle(spark: SparkSession, sf_dir: str) -> float:
+    """Half way between the first and the last click's event time."""
+    low, high = _clicks(spark, sf_dir).agg(F.min("event_time"), F.max("event_time")).first()
+    return 0.0 if low is None else (low + high) / 2
+
+
+def _run(spark: SparkSession, config: JobConfig, job: ModuleType) -> list[StreamingQuery]:
+    """Work off what is published, go on from the job's checkpoints, and stop."""
+    started = job.start(spark, config)
+    started = started if isinstance(started, list) else [started]
+    await_all(started)
+    return started
+
+
+def _sink_rows(spark: SparkSession, config: JobConfig, name: str) -> DataFrame:
+    return spark.sql(f"SELECT * FROM {config.table(schemas.SINKS[name][0], name)}")
+
+
+def _job(
+    job: ModuleType, sink: str, kinds: tuple[str, ...] = ("clicks", "checkouts"), stops: bool = False, **settings: object,
+) -> Query:
+    """A job over the file reader, four micro-batches per input; with ``stops``, halted after two and started again."""
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        config = replace(_run_config(configure(spark)), **settings)
+        replays = [_replay(spark, sf_dir, config, kind) for kind in kinds]
+        for steps in (2, None) if stops else (None,):
+            for replay in replays:
+                replay.publish(steps)
+            _run(spark, config, job)
+        return _comparable(_sink_rows(spark, config, sink))
+
+    return query
+
+
+def _source_replay(kind: str) -> Query:
+    """Events read back through the file reader in four micro-batches, metadata columns included."""
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        config = _run_config(configure(spark))
+        _replay(spark, sf_dir, config, kind).publish()
+        rows = config.events(spark, kind).drop("proc_time")
+        table = config.table("replayed", kind)
+        append_stream(
+            rows, table, rows.schema, config.checkpoint(kind), config.commit_interval, warehouse=config.warehouse,
+        ).awaitTermination()
+        return _comparable(spark.sql(f"SELECT * FROM {table}"))
+
+    return query
+
+
+def stream_idle_session_6h(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Checkouts end half way through the clicks: later sessions stay back, however far the clicks go."""
+    config = replace(_run_config(configure(spark)), gap="6 hours")
+    _replay(spark, sf_dir, config, "clicks").publish()
+    _replay(spark, sf_dir, config, "checkouts", F.col("event_time") < _middle(spark, sf_dir)).publish()
+    _run(spark, config, user_sessions)
+    return _sink_rows(spark, config, "session_activities")
+
+
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every 50th click arrives behind all others: how many groups of window and product the watermark drops."""
+    config = _run_config(configure(spark))
+    replay = _replay(spark, sf_dir, config, "clicks", late=F.col("offset") % 50 == 0)
+    watch = LateRows.watching(spark)
+    try:
+        replay.publish()
+        before = _run(spark, config, product_clicks)
+        replay.publish_late()
+        dropped = sum(watch.total(query) for query in before + _run(spark, config, product_clicks))
+    finally:
+        spark.streams.removeListener(watch)
+    return spark.createDataFrame([(dropped,)], "late_rows bigint")
+
+
+def _with_products(spark: SparkSession, config: JobConfig, products: DataFrame) -> None:
+    """Put a version of the dimension where the jobs' file reader finds it."""
+    products.write.mode("overwrite").parquet(config.dimension_path)
+
+
+def dimension_refresh_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first half of the clicks meets a catalogue without the PROMO parts, the second half the whole one."""
+    config = _run_config(configure(spark))
+    replay = _replay(spark, sf_dir, config, "clicks", steps=2, borders=[_middle(spark, sf_dir)])
+    products = products_of(spark, sf_dir)
+    copies = enrich.dimension_copies(spark, config)
+    for version in (products.where(~F.col("description").endswith(" PROMO")), products):
+        _with_products(spark, config, version)
+        replay.publish(1)
+        enrich.start_kind(spark, config, "clicks", copies=copies).awaitTermination()
+    return _comparable(_sink_rows(spark, config, "enriched_clicks"))
+
+
+def job_enrich_both(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both enrichments as one job under one supervisor and over one set of dimension copies."""
+    config = _run_config(configure(spark))
+    for kind in ("clicks", "checkouts"):
+        _replay(spark, sf_dir, config, kind).publish()
+    _with_products(spark, config, products_of(spark, sf_dir))
+    _run(spark, config, enrich)
+    names = ["user_id", "product_id", "event_time", "topic_id", "product_name", "description", "price"]
+    clicks = _sink_rows(spark, config, "enriched_clicks").select(F.col("click_id").alias("event_id"), *names)
+    checkouts = _sink_rows(spark, config, "enriched_checkouts").select(F.col("checkout_id").alias("event_id"), *names)
+    return clicks.unionByName(checkouts)
+
+
+def sink_tiered_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two backfills and a stream that merges its table after every commit, over several levels."""
+    config = replace(_run_config(configure(spark)), merge_every=1, merge_fanout=2)
+    _with_products(spark, config, products_of(spark, sf_dir))
+    database, schema = schemas.SINKS["enriched_clicks"]
+    table = config.table(database, "enriched_clicks")
+    for _ in range(2):
+        rows = enrich.build(_clicks(spark, sf_dir), products_of(spark, sf_dir), schema)
+        append_table(rows, table, schema, warehouse=config.warehouse)
+    _replay(spark, sf_dir, config, "clicks", steps=6).publish()
+    enrich.start_kind(spark, config, "clicks").awaitTermination()
+    return _comparable(spark.sql(f"SELECT * FROM {table}"))
+
+
+def sink_self_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table whose own rows are appended to it again."""
+    config = _run_config(configure(spark))
+    database, schema = schemas.SINKS["products_clicks_5min"]
+    table = config.table(database, "products_clicks_5min")
+    append_table(_tumbling("1 hour")(spark, sf_dir), table, schema, warehouse=config.warehouse)
+    append_table(spark.table(table), table, schema, warehouse=config.warehouse)
+    return spark.sql(f"SELECT * FROM {table}")
+
+
 # ---- contract ------------------------------------------------------------------------------------
 
 
@@ -300,6 +435,20 @@ def queries() -> dict[str, Query]:
         "sink_backfill_then_stream": _shared_table("bs"),
         "sink_two_runs": _shared_table("ss"),
         "sink_merged": _shared_table("bsmsm"),
+        "sink_tiered_merge": sink_tiered_merge,
+        "sink_self_append": sink_self_append,
+        "source_replay_clicks": _source_replay("clicks"),
+        "source_replay_checkouts": _source_replay("checkouts"),
+        "stream_replay_tumbling_5s": _job(product_clicks, "products_clicks_5min", ("clicks",)),
+        "stream_replay_session_6h": _job(user_sessions, "session_activities", gap="6 hours"),
+        "stream_replay_interval_1h": _job(checkout_clicks, "checkouts_clicks"),
+        "stream_restart_session_6h": _job(user_sessions, "session_activities", stops=True, gap="6 hours"),
+        "stream_restart_interval_1h": _job(checkout_clicks, "checkouts_clicks", stops=True),
+        "stream_interval_salted_1h": _job(checkout_clicks, "checkouts_clicks", join_salts=4),
+        "stream_idle_session_6h": stream_idle_session_6h,
+        "stream_late_rows": stream_late_rows,
+        "dimension_refresh_clicks": dimension_refresh_clicks,
+        "job_enrich_both": job_enrich_both,
     }
 
 
@@ -360,7 +509,7 @@ def _tumbling_sql(duration: str, having: str = "") -> str:
         FROM clicks GROUP BY 1, 2, 3 {having}""")
 
 
-def _session_sql(gap: str, clean: bool = False, having: str = "") -> str:
+def _session_sql(gap: str, clean: bool = False, having: str = "", source: str = "activities") -> str:
     def ids(kind: str) -> str:
         if clean:
             return (f"coalesce(string_agg(activity_id, ',' ORDER BY activity_ts, activity_type, activity_id) "
@@ -371,7 +520,7 @@ def _session_sql(gap: str, clean: bool = False, having: str = "") -> str:
     return _with(f""",
         flagged AS (
           SELECT *, CASE WHEN activity_ts <= lag(activity_ts) OVER w + INTERVAL {gap} THEN 0 ELSE 1 END AS opens
-          FROM activities WINDOW w AS (PARTITION BY user_id ORDER BY activity_ts, activity_type, activity_id)),
+          FROM {source} WINDOW w AS (PARTITION BY user_id ORDER BY activity_ts, activity_type, activity_id)),
         numbered AS (
           SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY activity_ts, activity_type, activity_id
                                      ROWS UNBOUNDED PRECEDING) AS session_no
@@ -396,6 +545,21 @@ def oracle_sql() -> dict[str, str]:
         return _enrich_sql(f"({copies})")
 
     tumbling_5s, sessions_6h = _tumbling_sql("5 SECONDS"), _session_sql("6 HOURS")
+    # A stream gives only what its final watermark has closed.
+    closed_5s = _tumbling_sql(
+        "5 SECONDS", "HAVING window_end <= (SELECT max(event_ts) - INTERVAL 5 SECONDS FROM clicks)")
+    middle = "(SELECT (min(event_time) + max(event_time)) / 2 FROM clicks)"
+
+    def closed_sessions(checkouts: str = "checkouts", source: str = "activities") -> str:
+        return _session_sql("6 HOURS", source=source, having=f"""
+            HAVING max(activity_ts) + INTERVAL 6 HOURS <= least(
+              (SELECT max(event_ts) FROM clicks), (SELECT max(event_ts) FROM {checkouts})) - INTERVAL 1 HOUR""")
+
+    early = f"(SELECT * FROM checkouts WHERE event_time < {middle})"
+    early_activities = f"""(
+        SELECT * FROM activities WHERE activity_type = 'click' UNION ALL
+        SELECT user_id, 'checkout', checkout_id, event_ts FROM {early})"""
+    tagged = ", ".join(["user_id", "product_id", "event_time", "topic_id", "product_name", "description", "price"])
     return {
         **({} if llm_queries is None else llm_queries.oracle_sql()),
         "clicks_event_time": _with("SELECT * FROM clicks"),
@@ -428,12 +592,8 @@ def oracle_sql() -> dict[str, str]:
         "session_6h": sessions_6h,
         "session_6h_clean_lists": _session_sql("6 HOURS", clean=True),
         "session_24h": _session_sql("24 HOURS"),
-        # A stream gives only what its final watermark has closed.
-        "stream_tumbling_5s": _tumbling_sql(
-            "5 SECONDS", "HAVING window_end <= (SELECT max(event_ts) - INTERVAL 5 SECONDS FROM clicks)"),
-        "stream_session_6h": _session_sql("6 HOURS", having="""
-            HAVING max(activity_ts) + INTERVAL 6 HOURS <= least(
-              (SELECT max(event_ts) FROM clicks), (SELECT max(event_ts) FROM checkouts)) - INTERVAL 1 HOUR"""),
+        "stream_tumbling_5s": closed_5s,
+        "stream_session_6h": closed_sessions(),
         "stream_interval_join_1h": pairs_1h,
         "sink_roundtrip_enriched_clicks": _enrich_sql("clicks"),
         "sink_roundtrip_enriched_checkouts": _enrich_sql("checkouts"),
@@ -443,4 +603,26 @@ def oracle_sql() -> dict[str, str]:
         "sink_backfill_then_stream": enriched_by(2),
         "sink_two_runs": enriched_by(2),
         "sink_merged": enriched_by(3),
+        "sink_tiered_merge": enriched_by(3),
+        "sink_self_append": f"SELECT t.* FROM ({_tumbling_sql('1 HOUR')}) t, range(2)",
+        "source_replay_clicks": _with("SELECT * EXCLUDE (event_ts) FROM clicks"),
+        "source_replay_checkouts": _with("SELECT * EXCLUDE (event_ts) FROM checkouts"),
+        "stream_replay_tumbling_5s": closed_5s,
+        "stream_replay_session_6h": closed_sessions(),
+        "stream_replay_interval_1h": pairs_1h,
+        "stream_restart_session_6h": closed_sessions(),
+        "stream_restart_interval_1h": pairs_1h,
+        "stream_interval_salted_1h": pairs_1h,
+        "stream_idle_session_6h": closed_sessions(early, early_activities),
+        "stream_late_rows": _with("""
+            SELECT count(DISTINCT (product_id, time_bucket(INTERVAL 5 SECONDS, event_ts))) AS late_rows FROM clicks
+            WHERE "offset" % 50 = 0 AND time_bucket(INTERVAL 5 SECONDS, event_ts) + INTERVAL 5 SECONDS <= (
+              SELECT max(event_ts) - INTERVAL 5 SECONDS FROM clicks WHERE "offset" % 50 <> 0)"""),
+        "dimension_refresh_clicks": _with(f"""
+            SELECT e.* EXCLUDE (event_ts), p.product_name, p.description, p.price
+            FROM clicks e JOIN products p ON e.product_id = p.product_id
+            WHERE e.event_time >= {middle} OR NOT ends_with(p.description, ' PROMO')"""),
+        "job_enrich_both": _with(f"""
+            SELECT click_id AS event_id, {tagged} FROM clicks JOIN products USING (product_id) UNION ALL
+            SELECT checkout_id, {tagged} FROM checkouts JOIN products USING (product_id)"""),
     }

@@ -26,6 +26,23 @@ def _matches(lookback: str) -> Column:
     )
 
 
+def _salted(rows: DataFrame, salts: int, side: str) -> DataFrame:
+    """Every row in one of ``salts`` cells, by its own columns, so a row that is read again falls alike."""
+    if salts == 1:
+        return rows
+    return rows.withColumn(f"{side}_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int"))
+
+
+def _copied(rows: DataFrame, salts: int, side: str) -> DataFrame:
+    if salts == 1:
+        return rows
+    return rows.withColumn(f"{side}_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+
+
+def _same_salt(salts: int) -> Column:
+    return F.lit(True) if salts == 1 else F.col("checkout_salt") == F.col("click_salt")
+
+
 def interval_join(
     checkouts: DataFrame,
     clicks: DataFrame,
@@ -33,6 +50,7 @@ def interval_join(
     how: str = "inner",
     hot_share: float | None = None,
     hot_min_rows: int = HOT_MIN_ROWS,
+    salts: int = 1,
 ) -> DataFrame:
     """One row per checkout and click of the same user with the click in [checkout - lookback, checkout].
 
@@ -46,10 +64,14 @@ def interval_join(
 
     Nothing is read while the plan is built: a user's bin that is too large for one task is left to
     adaptive skew handling. With ``hot_share``, batch cells from this share on are counted beforehand and
-    dealt over tasks.
+    dealt over tasks. A stream cannot count beforehand: with ``salts`` every cell is dealt into so many, by the
+    rows of the side that is not copied to both bins, and the other side is copied to each. The salt is part of
+    the state's key, so it is fixed for a query's life, as the number of its state partitions is.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be inner or left, not {how}")
+    if salts < 1:
+        raise ValueError(f"salts must be 1 or more, not {salts}")
     width = max(1, duration_seconds(lookback))
     checkout_bin = F.floor(F.unix_seconds("checkout_event_ts") / width)
     click_bin = F.floor(F.unix_seconds("click_event_ts") / width)
@@ -59,14 +81,16 @@ def interval_join(
     streaming = checkouts.isStreaming or clicks.isStreaming
 
     if streaming and how == "left":
-        joined = left.withColumn("checkout_bin", checkout_bin).join(
-            right.withColumn("click_bin", F.explode(F.array(click_bin, click_bin + 1))), _matches(lookback), "left")
+        joined = _salted(left, salts, "checkout").withColumn("checkout_bin", checkout_bin).join(
+            _copied(right, salts, "click").withColumn("click_bin", F.explode(F.array(click_bin, click_bin + 1))),
+            _matches(lookback) & _same_salt(salts), "left")
         return _pairs(joined)
 
     keyed = left.dropna(subset=["checkout_user_id", "checkout_event_ts"])
-    dealt_left = keyed.withColumn("checkout_bin", F.explode(F.array(checkout_bin - 1, checkout_bin)))
-    dealt_right = right.withColumn("click_bin", click_bin)
-    matches = _matches(lookback)
+    dealt_left = _copied(keyed, salts, "checkout").withColumn(
+        "checkout_bin", F.explode(F.array(checkout_bin - 1, checkout_bin)))
+    dealt_right = _salted(right, salts, "click").withColumn("click_bin", click_bin)
+    matches = _matches(lookback) & _same_salt(salts)
     if hot_share is not None and not streaming:
         dealt_left, dealt_right, same_cell = split_hot_groups(
             dealt_left, dealt_right,

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from clicktide.functions.eventtime import duration_seconds, interval
 from clicktide.functions.lists import joined_list, list_item
-from clicktide.operators.skew import HOT_MIN_ROWS, HOT_SHARE, Side, hot_keys
 
 # Length of a batch time slice, in session gaps.
 SLICE_GAPS = 64
@@ -90,41 +89,30 @@ def _report(sessions: DataFrame, placeholder: str | None) -> DataFrame:
 
 
 def session_activity(
-    acts: DataFrame,
-    gap: str = "10 seconds",
-    placeholder: str | None = "null",
-    slice_gaps: int = SLICE_GAPS,
-    hot_share: float = HOT_SHARE,
-    hot_min_rows: int = HOT_MIN_ROWS,
+    acts: DataFrame, gap: str = "10 seconds", placeholder: str | None = "null", slice_gaps: int = SLICE_GAPS,
 ) -> DataFrame:
     """Per user and session: bounds, counts and id lists of checkouts and clicks.
 
     A session ends ``gap`` after its last activity; activities exactly ``gap`` apart share a session.
-    Users are sessionized in one shuffle by user. In batch input, users holding a large share of all
-    history are told apart first and their history is cut into time slices; see _sliced_sessions. A
-    stream's micro-batch is bounded by its source's rate limit and holds open sessions only.
+    Building the plan reads nothing. Batch input is sessionized in time slices of every user, so a user's
+    history spreads over tasks however long it is; see _sliced_sessions. A stream's micro-batch is bounded
+    by its source's rate limit and holds open sessions only.
     """
     if acts.isStreaming:
         return _report(_stream_sessions(acts, gap, placeholder), placeholder)
-    hot = list(hot_keys([Side(acts, ["user_id"], with_nulls=True)], hot_share, hot_min_rows)[0])
-    if not hot:
-        return _report(_batch_sessions(acts, gap, placeholder, ["user_id"]), placeholder)
-    is_hot = F.xxhash64("user_id").isin(hot)
-    cold = _batch_sessions(acts.where(~is_hot), gap, placeholder, ["user_id"])
-    sliced = _sliced_sessions(acts.where(is_hot), gap, placeholder, slice_gaps)
-    return _report(cold.select(sliced.columns).unionByName(sliced), placeholder)
+    return _report(_sliced_sessions(acts, gap, placeholder, slice_gaps), placeholder)
 
 
 def _sliced_sessions(acts: DataFrame, gap: str, placeholder: str | None, slice_gaps: int) -> DataFrame:
     """Sessions per (user, time slice), then joined up across slice borders.
 
-    Keying the shuffle by user and slice spreads a hot user over tasks. A piece further than one gap
-    from both borders of its slice is a whole session. Only the pieces at a border go on: their bounds
-    (two timestamps per piece, at most two pieces per user and slice) are chained per user to find each
-    one's session start, and the pieces are then gathered per session.
+    The rows are shuffled once, by user and slice. A piece further than one gap from both borders of its
+    slice is a whole session. Only the pieces at a border go on: their bounds (two timestamps per piece, at
+    most two pieces per user and slice, whatever the number of rows) are chained per user to find each one's
+    session start, and the pieces are then gathered per session.
     """
     gap_seconds = duration_seconds(gap)
-    width = gap_seconds * slice_gaps
+    width = max(1, gap_seconds) * slice_gaps
     sliced = acts.withColumn("slice", F.floor(F.unix_seconds("activity_ts") / width))
     # The branches below infer this filter or not; stated here, they read the same shuffle once.
     sliced = sliced.where(F.col("slice").isNotNull())
@@ -144,15 +132,19 @@ def _sliced_sessions(acts: DataFrame, gap: str, placeholder: str | None, slice_g
             F.col("user_id").alias("piece_user"),
             F.col("session_start").alias("piece_start"),
             F.col("session_end").alias("piece_end"),
+            # Always equal in the join; with it the bounds come from the same shuffle as the pieces, not from
+            # another one of fewer columns and another scan.
+            F.size("items").alias("piece_size"),
         )
         .withColumn("opening", F.when(opens, F.col("piece_start")))
-        .select("piece_user", "piece_start", F.max("opening").over(in_order).alias("first_start"))
+        .select("piece_user", "piece_start", "piece_size", F.max("opening").over(in_order).alias("first_start"))
     )
     # Users may be NULL; NULL users form a group like any other.
     gathered = (
         border.join(
             chained,
-            F.col("user_id").eqNullSafe(F.col("piece_user")) & (F.col("session_start") == F.col("piece_start")),
+            F.col("user_id").eqNullSafe(F.col("piece_user")) & (F.col("session_start") == F.col("piece_start"))
+            & (F.size("items") == F.col("piece_size")),
         )
         .groupBy("user_id", "first_start")
         .agg(

@@ -9,24 +9,25 @@ from clicktide import schemas
 from clicktide.functions import with_event_time
 from clicktide.operators import conform, interval_join
 from clicktide.plans.config import JobConfig, config_from, job_session
-from clicktide.streaming import append_stream, await_all
+from clicktide.streaming import await_all
 
 TABLE = "checkouts_clicks"
 
 
-def build(clicks: DataFrame, checkouts: DataFrame, lookback: str = "1 hour", delay: str = "1 hour", how: str = "inner") -> DataFrame:
+def build(
+    clicks: DataFrame, checkouts: DataFrame, lookback: str = "1 hour", delay: str = "1 hour", how: str = "inner",
+    salts: int = 1,
+) -> DataFrame:
     """Checkout-click pairs under the sink's column names."""
-    pairs = interval_join(with_event_time(checkouts, delay), with_event_time(clicks, delay), lookback, how)
+    pairs = interval_join(with_event_time(checkouts, delay), with_event_time(clicks, delay), lookback, how, salts=salts)
     return conform(pairs, schemas.CHECKOUTS_CLICKS)
 
 
 def start(spark: SparkSession, config: JobConfig) -> StreamingQuery:
-    database, sink = schemas.SINKS[TABLE]
-    pairs = build(config.events(spark, "clicks"), config.events(spark, "checkouts"))
-    return append_stream(
-        pairs, config.table(database, TABLE), sink, config.checkpoint(TABLE),
-        config.commit_interval, config.table_format, config.warehouse, TABLE,
-    )
+    pairs = build(
+        config.events(spark, "clicks"), config.events(spark, "checkouts"), config.lookback, config.join_delay,
+        salts=config.join_salts)
+    return config.append(pairs, TABLE)
 
 
 if __name__ == "__main__":

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -20,7 +23,16 @@ def build(events: DataFrame, products: DataFrame, sink: T.StructType, products_b
     return conform(lookup_join(events, products, products_bytes), sink)
 
 
-def start_kind(spark: SparkSession, config: JobConfig, kind: str, events: DataFrame | None = None) -> StreamingQuery:
+def dimension_copies(spark: SparkSession, config: JobConfig) -> DimensionSnapshot:
+    """Copies of the products for all streams of a job."""
+    return DimensionSnapshot(
+        spark, lambda: config.products(spark), config.checkpoint("products-dimension"), config.dimension_ttl)
+
+
+def start_kind(
+    spark: SparkSession, config: JobConfig, kind: str, events: DataFrame | None = None,
+    copies: DimensionSnapshot | None = None,
+) -> StreamingQuery:
     """Start the enrichment of one event kind.
 
     Every micro-batch looks up a copy of the dimension no older than its allowed age and of measured
@@ -31,21 +43,26 @@ def start_kind(spark: SparkSession, config: JobConfig, kind: str, events: DataFr
     database, sink = schemas.SINKS[name]
     table = config.table(database, name)
     ensure_batch_table(spark, table, sink, config.table_format, config.warehouse)
-    snapshot = DimensionSnapshot(
-        spark, lambda: config.products(spark), f"{config.checkpoint(name)}-dimension", config.dimension_ttl
-    )
+    if copies is None:
+        copies = dimension_copies(spark, config)
 
-    def enriched(batch: DataFrame) -> DataFrame:
-        products, size = snapshot.current()
-        return build(batch, products, sink, size)
+    @contextmanager
+    def enriched(batch: DataFrame) -> Iterator[DataFrame]:
+        with copies.reading() as (products, size):
+            yield build(batch, products, sink, size)
 
     events = config.events(spark, kind) if events is None else events
-    return append_batches(events, enriched, table, config.checkpoint(name), config.commit_interval, name)
+    return append_batches(
+        events, enriched, table, config.checkpoint(name), config.commit_interval, name, config.merge_every,
+        config.merge_fanout)
 
 
-def start(spark: SparkSession, config: JobConfig) -> list[StreamingQuery]:
-    """Start both enrichments; their sources differ, so nothing is read twice."""
-    return [start_kind(spark, config, kind) for kind in _TABLES]
+def start(
+    spark: SparkSession, config: JobConfig, events: dict[str, DataFrame] | None = None,
+) -> list[StreamingQuery]:
+    """Start both enrichments over one set of dimension copies; their sources differ, so nothing is read twice."""
+    copies = dimension_copies(spark, config)
+    return [start_kind(spark, config, kind, (events or {}).get(kind), copies) for kind in _TABLES]
 
 
 if __name__ == "__main__":

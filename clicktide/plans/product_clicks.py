@@ -9,7 +9,7 @@ from clicktide import schemas
 from clicktide.functions import with_event_time
 from clicktide.operators import conform, tumbling_counts
 from clicktide.plans.config import JobConfig, config_from, job_session
-from clicktide.streaming import append_stream, await_all
+from clicktide.streaming import await_all
 
 TABLE = "products_clicks_5min"
 
@@ -20,11 +20,7 @@ def build(clicks: DataFrame, duration: str = "5 seconds", delay: str = "5 second
 
 
 def start(spark: SparkSession, config: JobConfig) -> StreamingQuery:
-    database, sink = schemas.SINKS[TABLE]
-    return append_stream(
-        build(config.events(spark, "clicks")), config.table(database, TABLE), sink, config.checkpoint(TABLE),
-        config.commit_interval, config.table_format, config.warehouse, TABLE,
-    )
+    return config.append(build(config.events(spark, "clicks"), config.window, config.window_delay), TABLE)
 
 
 if __name__ == "__main__":

@@ -9,7 +9,7 @@ from clicktide import schemas
 from clicktide.functions import with_event_time
 from clicktide.operators import activities, conform, session_activity
 from clicktide.plans.config import JobConfig, config_from, job_session
-from clicktide.streaming import append_stream, await_all
+from clicktide.streaming import await_all
 
 TABLE = "session_activities"
 
@@ -27,12 +27,9 @@ def build(
 
 
 def start(spark: SparkSession, config: JobConfig) -> StreamingQuery:
-    database, sink = schemas.SINKS[TABLE]
-    sessions = build(config.events(spark, "clicks"), config.events(spark, "checkouts"))
-    return append_stream(
-        sessions, config.table(database, TABLE), sink, config.checkpoint(TABLE),
-        config.commit_interval, config.table_format, config.warehouse, TABLE,
-    )
+    sessions = build(
+        config.events(spark, "clicks"), config.events(spark, "checkouts"), config.gap, config.session_delay)
+    return config.append(sessions, TABLE)
 
 
 if __name__ == "__main__":

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import threading
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,12 +54,13 @@ def read_dimension(
 
 
 class DimensionSnapshot:
-    """A copy of a dimension, taken again once it is older than ``ttl``.
+    """Copies of a dimension, shared by all streams of a job; a new one is taken once the newest is older than ``ttl``.
 
-    Rows looked up are at most ``ttl`` old; ``"0 seconds"`` copies anew on every call. The copy is a
-    Parquet table in the shared folder, so lost executors re-read it instead of asking the database
-    again, and its size is measured once per copy. Two folders take turns: the one in use is never
-    overwritten.
+    Rows looked up are at most ``ttl`` old; ``"0 seconds"`` copies anew on every call. A copy is a Parquet
+    table in the shared folder, so lost executors re-read it instead of asking the database again, and its
+    size is measured once. Streams call from threads of their own: one of them takes the copy, the others wait
+    and get the same. A copy is switched to by name, as a whole; the folder of an older one is written again
+    only when no micro-batch reads it any more, so there are at most as many folders as readers and two.
     """
 
     def __init__(
@@ -73,19 +76,37 @@ class DimensionSnapshot:
         self._path = path
         self._ttl = duration_seconds(ttl)
         self._clock = clock
-        self._copies = 0
+        self._lock = threading.Lock()
+        self._readers: list[int] = []  # of every folder
+        self._newest: int | None = None
         self._taken_at = 0.0
-        self._current: tuple[DataFrame, int] | None = None
-
-    def current(self) -> tuple[DataFrame, int]:
-        """The dimension and its measured size in bytes."""
-        now = self._clock()
-        if self._current is None or now - self._taken_at >= self._ttl:
-            target = f"{self._path}/copy-{self._copies % 2}"
-            source = self._read()
-            source.write.mode("overwrite").parquet(target)
-            copy = self._spark.read.schema(source.schema).parquet(target)
-            self._current = copy, measured_bytes(copy)
-            self._copies += 1
-            self._taken_at = now
-        return self._current
+        self._copy: tuple[DataFrame, int] | None = None
+        self.copies = 0
+
+    def _take(self, now: float) -> None:
+        free = [i for i, n in enumerate(self._readers) if n == 0 and i != self._newest]
+        if not free:
+            free = [len(self._readers)]
+            self._readers.append(0)
+        target = f"{self._path}/copy-{free[0]}"
+        source = self._read()
+        source.write.mode("overwrite").parquet(target)
+        copy = self._spark.read.schema(source.schema).parquet(target)
+        self._copy = copy, measured_bytes(copy)
+        self._newest, self._taken_at = free[0], now
+        self.copies += 1
+
+    @contextmanager
+    def reading(self) -> Iterator[tuple[DataFrame, int]]:
+        """The newest copy and its measured size in bytes; its folder stays as it is until the block ends."""
+        with self._lock:
+            now = self._clock()
+            if self._copy is None or now - self._taken_at >= self._ttl:
+                self._take(now)
+            folder, copy = self._newest, self._copy
+            self._readers[folder] += 1
+        try:
+            yield copy
+        finally:
+            with self._lock:
+                self._readers[folder] -= 1

@@ -299,7 +299,7 @@ def test_null_users_form_one_group_and_null_ids_leave_no_token(spark):
 
 def test_session_bounds_can_be_filtered(spark):
     acts = [("u", "click", "a", 0), ("u", "click", "b", 8), ("u", "click", "c", 16)]
-    for tuning in ({}, {"slice_gaps": 1, "hot_share": 0.5, "hot_min_rows": 1}):
+    for tuning in ({}, {"slice_gaps": 1}):
         sessions = _sessions(spark, acts, **tuning)
         assert sessions.where(F.col("session_start") > F.lit(at(5))).count() == 0
         assert sessions.where(F.col("session_end") == F.lit(at(26))).count() == 1
@@ -312,8 +312,7 @@ def test_sliced_sessions_equal_brute_force(spark, slice_gaps, data):
     event = st.tuples(
         st.sampled_from(["u", "u", "u", "v", None]), st.sampled_from(["click", "checkout"]), st.integers(0, 300))
     acts = [(u, k, f"{k[1]}{i}", s) for i, (u, k, s) in enumerate(data.draw(st.lists(event, min_size=1, max_size=70)))]
-    # Users with a fifth of the rows or more are sliced, the others are not.
-    result = rows(_sessions(spark, acts, slice_gaps=slice_gaps, hot_share=0.2, hot_min_rows=1))
+    result = rows(_sessions(spark, acts, slice_gaps=slice_gaps))
     assert result == session_rows(acts, 10) == rows(_sessions(spark, acts))
     for row in result:
         assert len(row[4].split(",")) == len(row[6].split(",")) == row[3] + row[5]
@@ -321,7 +320,7 @@ def test_sliced_sessions_equal_brute_force(spark, slice_gaps, data):
 
 def test_long_session_over_many_slices(spark):
     acts = [("u", "click", f"c{s:04d}", s) for s in range(0, 3000, 7)]
-    sliced = _sessions(spark, acts, slice_gaps=2, hot_share=0.5, hot_min_rows=1)
+    sliced = _sessions(spark, acts, slice_gaps=2)
     assert "slice" in _plan(sliced)
     assert rows(sliced) == session_rows(acts, 10)
 

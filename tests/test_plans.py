@@ -3,6 +3,8 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
+
 from compare import TABLES_DIR
 
 import __spark_entry__ as contract
@@ -63,17 +65,37 @@ def test_streaming_interval_join_is_keyed_by_user_and_bin_and_keeps_narrow_rows(
     assert re.search(r"Arguments: \[checkout_user_id#\d+, checkout_bin#\d+L\], \[click_user_id#\d+, click_bin#\d+L\]", text)
 
 
-def test_sessions_shuffle_once_by_user(spark):
-    found = exchanges(query(spark, "session_6h"))
-    assert len(found) == 1 and "user_id" in found[0]
-
-
-def test_sliced_sessions_shuffle_the_rows_once(spark):
-    acts = contract._activities(spark, TABLES_DIR)
-    sliced = session_activity(acts, "6 hours", slice_gaps=4, hot_share=0.001, hot_min_rows=1)
-    sliced.collect()
-    text = plan(sliced)
-    assert "ReusedExchange" in text
+def test_sessions_read_nothing_while_built_and_each_input_once(spark):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("sessions", "while building")
+    result = contract._sessions("6 hours")(spark, TABLES_DIR)
+    assert tracker.getJobIdsForGroup("sessions") == []
+    spark.sparkContext.setJobGroup("other", "")
+    result.collect()
+    final = plan(result).split("Initial Plan")[0]
+    # Clicks and checkouts are two filters on one file: a scan each, and their shuffle is read again for the borders.
+    assert final.count("FileScan parquet") == 2 and "ReusedExchange" in final
+
+
+def test_sessions_shuffle_the_rows_by_user_and_slice(spark):
+    found = exchanges(query(spark, "session_10s"))
+    assert all("slice" in keys for keys in found if "piece_user" not in keys and "first_start" not in keys and "_start" not in keys)
+    assert any("user_id" in keys and "slice" in keys for keys in found)
+
+
+def test_a_small_users_history_is_spread_over_tasks(spark):
+    """A user with 1 of 4000 rows in each slice still has tasks of its own for its slices."""
+    acts = spark.range(40_000).select(
+        F.when(F.col("id") % 4000 == 0, "small").otherwise(F.concat(F.lit("u"), F.col("id") % 977)).alias("user_id"),
+        F.lit("click").alias("activity_type"), F.col("id").cast("string").alias("activity_id"),
+        F.timestamp_seconds(F.col("id") * 100).alias("activity_ts"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sessions = session_activity(acts, "10 seconds").where("user_id = 'small'")
+        found = sessions.select(F.spark_partition_id().alias("p"), "session_start").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(found) == 10 and len({r.p for r in found}) > 2
 
 
 def test_no_python_in_any_plan(spark):

@@ -1,7 +1,9 @@
 """Sources, dimension copies, settings and published records."""
 
 import json
+import os
 from collections import Counter
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from fixtures import BASE, at, checkout, click, frame, rows, stored_schema
@@ -9,7 +11,7 @@ from pyspark.sql import functions as F
 
 from clicktide import schemas, session
 from clicktide.plans.config import JobConfig, config_from
-from clicktide.sources import DimensionSnapshot, read_dimension, read_events, register_views, uuid_ranges
+from clicktide.sources import DimensionSnapshot, Replay, read_dimension, read_events, register_views, uuid_ranges
 from clicktide.sources.events import decode_framed_avro, decode_topic
 from clicktide.streaming.publish import encode_framed_avro, topic_records
 
@@ -106,22 +108,72 @@ def test_jdbc_dimension_reads_ranges_with_credentials_from_options(spark, monkey
     assert seen["properties"]["fetchsize"] == "10000" and seen["properties"]["user"] == "a"
 
 
-def test_dimension_copy_is_kept_for_its_ttl(spark, work_dir):
-    now, reads = [0.0], []
+def _growing_dimension(spark):
+    """A reader that gives one more product each time it is asked, and how often it was."""
+    reads = []
 
     def read():
         reads.append(1)
         return spark.createDataFrame([(f"p{i}", "n", "d", "$1") for i in range(len(reads))], schemas.PRODUCTS)
 
-    snapshot = DimensionSnapshot(spark, read, f"{work_dir}/dimension", "10 minutes", lambda: now[0])
-    first, size = snapshot.current()
-    assert first.count() == 1 and size > 0
-    now[0] = 599.0
-    assert snapshot.current()[0].count() == 1 and len(reads) == 1
-    now[0] = 600.0
-    second, larger = snapshot.current()
-    assert second.count() == 2 and larger > size and len(reads) == 2
-    assert first.count() == 1, "a batch still using the former copy must keep it"
+    return read, reads
+
+
+def test_dimension_copy_is_kept_for_its_ttl(spark, work_dir):
+    now = [0.0]
+    read, reads = _growing_dimension(spark)
+    copies = DimensionSnapshot(spark, read, f"{work_dir}/dimension", "10 minutes", lambda: now[0])
+    with copies.reading() as (first, size):
+        assert first.count() == 1 and size > 0
+        now[0] = 599.0
+        with copies.reading() as (same, _):
+            assert same.count() == 1 and len(reads) == 1
+        for expected in (2, 3, 4):
+            now[0] += 600.0
+            with copies.reading() as (newer, larger):
+                assert newer.count() == expected and larger > size and len(reads) == expected
+        assert first.count() == 1, "a batch still using a former copy must keep it"
+    # Folders of copies that nobody reads are written again.
+    assert sorted(os.listdir(f"{work_dir}/dimension")) == ["copy-0", "copy-1", "copy-2"]
+
+
+def test_streams_share_a_dimension_copy(spark, work_dir):
+    """Four threads ask at once, twice: the database is read once per age."""
+    now = [0.0]
+    read, reads = _growing_dimension(spark)
+    copies = DimensionSnapshot(spark, read, f"{work_dir}/shared-dimension", "10 minutes", lambda: now[0])
+
+    def rows(_):
+        with copies.reading() as (products, _):
+            return products.count()
+
+    with ThreadPoolExecutor(4) as pool:
+        for age in (1, 2):
+            assert list(pool.map(rows, range(4))) == [age] * 4
+            assert len(reads) == copies.copies == age
+            now[0] += 600.0
+
+
+def test_replay_publishes_steps_in_event_time_order(spark, work_dir):
+    events = frame(spark, "clicks", [click(f"c{i}", "u", (i * 37) % 100, offset=i) for i in range(100)])
+    replay = Replay(
+        events, "clicks", f"{work_dir}/replay", steps=5, files_per_step=2, late=F.col("click_id") == "c0")
+    seen = 0
+    highest = 0.0
+    for step in range(5):
+        replay.publish(1)
+        stored = read_events(spark, "clicks", "files", path=replay.path, stream=False)
+        assert stored.columns == [*schemas.CLICKS.names, *schemas.METADATA.names, "proc_time"]
+        times = sorted(r.event_time for r in stored.collect())
+        assert len(times) > seen and (step == 0 or times[seen] >= highest)
+        seen, highest = len(times), times[-1]
+    assert seen == 99
+    replay.publish()
+    replay.publish_late()
+    assert read_events(spark, "clicks", "files", path=replay.path, stream=False).count() == 100
+    fixed = Replay(events, "clicks", f"{work_dir}/fixed", steps=2, borders=[float(BASE + 90)])
+    fixed.publish(1)
+    assert read_events(spark, "clicks", "files", path=fixed.path, stream=False).count() == 90
 
 
 def test_shared_dir_comes_from_the_session(spark):
@@ -153,6 +205,24 @@ def test_job_settings(spark, monkeypatch):
     assert (config.commit_interval, config.dimension_ttl) == ("10 seconds", "10 minutes")
     assert config.checkpoint("x").startswith(session.shared_dir(spark))
     assert JobConfig(database_prefix="t_").table("db", "x") == "t_db.x"
+    assert (config.window, config.lookback, config.gap, config.dimension_bounds) == ("5 seconds", "1 hour", "10 seconds", None)
+    given = {
+        "runOnce": "true", "window": "1 minute", "window.delay": "2 minutes", "lookback": "2 hours", "join.delay": "3 hours",
+        "join.salts": "4", "gap": "30 seconds", "session.delay": "5 hours", "mergeEvery": "20", "mergeFanout": "5",
+        "statePartitions": "64", "jdbc.bounds": "g,n,t", "databasePrefix": "dev_", "warehouse": "s3a://lake/dev"}
+    for key, value in given.items():
+        spark.conf.set(f"spark.clicktide.{key}", value)
+    try:
+        config = config_from(spark)
+    finally:
+        for key in given:
+            spark.conf.unset(f"spark.clicktide.{key}")
+    assert config.commit_interval is None and config.dimension_bounds == ["g", "n", "t"]
+    assert (config.window, config.window_delay, config.lookback, config.join_delay) == (
+        "1 minute", "2 minutes", "2 hours", "3 hours")
+    assert (config.join_salts, config.gap, config.session_delay) == (4, "30 seconds", "5 hours")
+    assert (config.merge_every, config.merge_fanout, config.state_partitions) == (20, 5, 64)
+    assert (config.table("db", "x"), config.warehouse) == ("dev_db.x", "s3a://lake/dev")
 
 
 def test_views_make_frames_queryable(spark):

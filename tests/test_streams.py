@@ -2,10 +2,14 @@
 
 import uuid
 from collections import Counter
+from dataclasses import replace
 
 import pytest
+from compare import TABLES_DIR
 from fixtures import at, checkout, click, rows, stored_schema
+from pyspark.sql import functions as F
 
+import __spark_entry__ as contract
 from clicktide import schemas
 from clicktide.operators import lookup_join
 from clicktide.plans import checkout_clicks, enrich, product_clicks, user_sessions
@@ -19,6 +23,7 @@ from clicktide.streaming import (
     create_zones,
     ensure_batch_table,
     ensure_table,
+    jdbc_append,
     merge_batches,
     overwrite_batch,
     rows_dropped_late,
@@ -273,6 +278,145 @@ def test_merging_batches_keeps_the_rows_and_survives_a_crash(replay, spark, monk
     assert spark.table(table).columns == schemas.USERS.names
 
 
+def test_tiered_merges_bound_partitions_files_and_the_view(replay, spark):
+    table = replay.config.table("tiers", "users")
+    warehouse = replay.config.warehouse
+    ensure_batch_table(spark, table, schemas.USERS, warehouse=warehouse)
+    views = []
+    for batch_id in range(50):
+        frame = spark.createDataFrame([(f"u{batch_id}", str(i)) for i in range(4)], schemas.USERS)
+        overwrite_batch(frame.repartition(4).hint("rebalance"), table, batch_id, "stream_x")
+        if batch_id % 2:
+            assert not merge_batches(spark, table, fanout=3)
+            views.append(len(spark.sql(f"SHOW CREATE TABLE {table}").first()[0]))
+    gathered = [run for run, _ in _partitions(spark, f"{table}_batches") if run.startswith("merged_")]
+    # 25 merges: fewer than 3 of each of 3 levels, and what the last merge replaced.
+    levels = Counter(run.split("_")[1] for run in gathered)
+    assert set(levels) <= {"0", "1", "2"}
+    assert len(_partitions(spark, f"{table}_batches")) <= 12
+    merge_batches(spark, table, fanout=3)
+    shown = spark.table(table)
+    assert shown.count() == 200 and shown.distinct().count() == 200
+    assert len({r[0] for r in shown.select(F.input_file_name()).distinct().collect()}) <= 8
+    assert max(views[10:]) <= max(views[:10]) + 200, "the view's text does not grow with the number of merges"
+
+
+def test_a_merge_names_a_bounded_number_of_runs(replay, spark):
+    table = replay.config.table("many", "users")
+    for i in range(7):
+        append_table(
+            spark.createDataFrame([(f"u{i}", "n")], schemas.USERS), table, schemas.USERS, warehouse=replay.config.warehouse)
+    calls = 0
+    while merge_batches(spark, table, most_runs=3):
+        record = spark.sql(f"SHOW TBLPROPERTIES {table} ('merged_runs')").first()["value"]
+        assert record.count("append_") == 3
+        calls += 1
+    assert calls == 2 and spark.table(table).count() == 7
+    merge_batches(spark, table)
+    assert not any(run.startswith("append_") for run, _ in _partitions(spark, f"{table}_batches"))
+
+
+def test_one_process_merges_at_a_time(replay, spark):
+    table = replay.config.table("locked", "users")
+    for i in range(2):
+        append_table(
+            spark.createDataFrame([(f"u{i}", "n")], schemas.USERS), table, schemas.USERS, warehouse=replay.config.warehouse)
+    before = _partitions(spark, f"{table}_batches")
+    with sinks._only_merge(spark, table, 3600) as mine:
+        assert mine
+        assert not merge_batches(spark, table)
+        assert _partitions(spark, f"{table}_batches") == before
+        # A merge that died long ago holds nobody up.
+        merge_batches(spark, table, stale_seconds=-1)
+    assert len(_partitions(spark, f"{table}_batches")) == 3
+    assert spark.table(table).count() == 2
+
+
+def test_a_table_takes_rows_from_itself(replay, spark):
+    table = replay.config.table("self", "users")
+    append_table(
+        spark.createDataFrame([("u", "n")], schemas.USERS), table, schemas.USERS, warehouse=replay.config.warehouse)
+    for expected in (2, 4):
+        append_table(spark.table(table), table, schemas.USERS, warehouse=replay.config.warehouse)
+        assert spark.table(table).count() == expected
+
+
+def test_a_stream_merges_its_own_table_and_keeps_commits_small(replay, spark):
+    replay.config = replace(replay.config, merge_every=2, merge_fanout=2)
+    for i in range(8):
+        replay.add("clicks", *[click(f"c{i}{k}", "u", 20 * i + k, f"p{k}") for k in range(6)])
+    replay.add("clicks", click("last", "u", 1000))
+    replay.drain(product_clicks)
+    assert replay.table("products_clicks_5min").count() == 48
+    batches = f"{replay.config.table('window_agg_db', 'products_clicks_5min')}_batches"
+    assert any(run.startswith("merged_") for run, _ in _partitions(spark, batches))
+    files = spark.table(batches).select("run", "batch_id", F.input_file_name().alias("file")).distinct()
+    assert files.groupBy("run", "batch_id").count().agg(F.max("count")).first()[0] == 1
+
+
+def test_jdbc_append_returns_the_ids_it_wrote(spark):
+    """The rows' ids are drawn at random, so reading them again would give others."""
+    written = []
+
+    def write(rows, table, options, batch_size):
+        assert (table, options, batch_size) == ("users", {"url": "jdbc:x"}, 1000)
+        written.append(sorted(r.user_id for r in rows.collect()))
+        if len(written) == 1:
+            raise RuntimeError("connection lost")
+
+    drawn = F.udf(lambda i: uuid.uuid4().hex).asNondeterministic()
+    users = spark.range(50).select(drawn("id").alias("user_id"), F.lit("n").alias("username"))
+    stage = f"users-{uuid.uuid4().hex}"
+    with pytest.raises(RuntimeError):
+        jdbc_append(users, "users", {"url": "jdbc:x"}, stage=stage, write=write)
+    ids = jdbc_append(users, "users", {"url": "jdbc:x"}, stage=stage, write=write)
+    assert sorted(r.user_id for r in ids.collect()) == written[1] == written[0]
+    other = jdbc_append(users, "users", {"url": "jdbc:x"}, write=write)
+    assert sorted(r.user_id for r in other.collect()) == written[2] != written[1]
+
+
+@pytest.mark.parametrize("salts, least", [(1, 1), (8, 4)])
+def test_salts_spread_a_hot_user_over_state_partitions(replay, spark, salts, least):
+    """All rows are of one user and hour: its clicks are kept in one partition, or in several."""
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    replay.config = replace(replay.config, join_salts=salts)
+    replay.add("clicks", *[click(f"c{i}", "u", 60 + i % 50, offset=i) for i in range(64)])
+    replay.add("checkouts", checkout("k1", "u", 115))
+    replay.drain(checkout_clicks)
+    assert replay.table("checkouts_clicks").count() == 64
+    state = spark.read.format("statestore").option("joinSide", "right").load(
+        replay.config.checkpoint("checkouts_clicks"))
+    kept = {r.partition_id: r.n for r in state.groupBy("partition_id").agg(F.count("*").alias("n")).collect()}
+    assert len(kept) >= least and (salts > 1 or len(kept) == 1)
+
+
+def test_salted_left_join_emits_each_checkout(replay, spark):
+    replay.add("clicks", *[click(f"c{i}", "u", i, offset=i) for i in range(6)])
+    replay.add("checkouts", checkout("k1", "u", 10), checkout("k2", "v", 10))
+    replay.add("clicks", click("far", "z", 20 * HOUR))
+    replay.add("checkouts", checkout("far", "y", 20 * HOUR))
+    config = replay.config
+    pairs = checkout_clicks.build(config.events(spark, "clicks"), config.events(spark, "checkouts"), how="left", salts=3)
+    config.append(pairs, "checkouts_clicks").awaitTermination()
+    got = rows(replay.table("checkouts_clicks").select("checkout_id", "click_id"))
+    assert got == Counter([*[("k1", f"c{i}") for i in range(6)], ("k2", None)])
+
+
+def test_replayed_jobs_take_several_micro_batches(spark, monkeypatch):
+    batches = []
+    before = contract._run
+
+    def counting(*args):
+        started = before(*args)
+        batches.extend(sum(p.numInputRows > 0 for p in query.recentProgress) for query in started)
+        return started
+
+    monkeypatch.setattr(contract, "_run", counting)
+    contract.queries()["stream_replay_tumbling_5s"](spark, TABLES_DIR)
+    contract.queries()["stream_restart_interval_1h"](spark, TABLES_DIR)
+    assert batches[0] >= 4 and len(batches) == 3 and batches[1] + batches[2] >= 4
+
+
 def test_batch_append_adds_by_position(replay, spark):
     table = replay.config.table("batch", "users")
     df = spark.createDataFrame([("u", "name")], "x string, y string")
