@@ -7,8 +7,9 @@ the same order:
 
     documents --(_block)--> distinct keys --(shard)--> replies --(_block)--> documents with their numbers
 
-A block and a shard are bounded by ``block_bytes``, whatever the size of a source or a group of copies; a key
-that every document holds arrives once per block.
+Blocks are dealt by a hash of id and text and hold about ``block_bytes`` of texts and rows, whatever the size of a
+source or a group of copies with ids of their own; rows that repeat as a whole, id included, share a block. A key that
+every document holds arrives once per block.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ from pyspark.sql import functions as F
 from clicktide.session import new_work_dir
 
 BLOCK_BYTES = 24 << 20
+# What a row counts in a block besides its text.
+ROW_BYTES = 64
 # Texts are worked on in pieces of about this size inside a task.
 PIECE_BYTES = 3 << 20
 
@@ -50,7 +53,7 @@ def blocks_of(docs: DataFrame, keep: dict[str, object], block_bytes: int = BLOCK
 
     The block follows from the row alone, so a repeated task deals rows alike.
     """
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    size = docs.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + F.lit(ROW_BYTES).cast("long"))).first()[0] or 0
     n = max(1, math.ceil(size / block_bytes))
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(

@@ -22,41 +22,48 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clicktide.llm.exchange import (
-    BLOCK_BYTES, REPLIES, WordHashes, block_number, blocks_of, by_shard, merged_counts, mix, pieces,
-    replies_in_order, written,
+    REPLIES, block_number, blocks_of, by_shard, merged_counts, mix, pieces, replies_in_order, written,
 )
+from clicktide.llm.wordhash import BASE, INVERSE, hashes_of, powers, words_in
 
+# Smaller blocks than other operators': the last step holds a block's texts, as they were and as they are kept.
+BLOCK_BYTES = 8 << 20
 WINDOW = 35
 PERIOD = 21
 COVER = (0, 1, 6, 8, 18)
 ASKED_TWICE = "shard int, block int, keys binary, often binary"
-BASE = np.uint64(0x9E3779B97F4A7C15)
-INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
-
-
-def _powers(base: np.uint64, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[:1] = 1
-    return np.cumprod(out, dtype=np.uint64)
 
 
 class Words:
     """Words of consecutive texts in one array, with hashes of any windows of them."""
 
-    def __init__(self, texts: list[bytes], hashes: WordHashes) -> None:
-        self.words = [t.split() for t in texts]
-        self.lengths = np.fromiter(map(len, self.words), np.int64, len(texts))
-        n = int(self.lengths.sum())
-        self.values = np.concatenate([hashes.of(w) for w in self.words]) if texts else np.empty(0, np.uint64)
-        self.starts = np.cumsum(self.lengths) - self.lengths
+    def __init__(self, texts: list[bytes]) -> None:
+        self.data = b"\n".join([*texts, b""])
+        data = np.frombuffer(self.data, np.uint8)
+        self.begins, self.ends = words_in(data)  # bytes
+        bounds = np.cumsum([0, *(len(t) + 1 for t in texts)])
+        self.starts = np.searchsorted(self.begins, bounds)
+        self.lengths = np.diff(self.starts)
+        self.starts = self.starts[:-1]
+        n = len(self.begins)
         owner = np.repeat(np.arange(len(texts)), self.lengths)
         self.position = np.arange(n) - self.starts[owner]
         self.room = self.lengths[owner] - self.position  # words from here to the end of the text
-        self.unshift = _powers(INVERSE, n + 1)
-        self.sums = np.concatenate([[np.uint64(0)], np.cumsum(self.values * _powers(BASE, n), dtype=np.uint64)])
+        self.sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(hashes_of(data, self.begins, self.ends) * powers(BASE, n), out=self.sums[1:])
+
+    def __len__(self) -> int:
+        return len(self.begins)
+
+    def kept(self, text: int, gone: np.ndarray) -> bytes:
+        """A text's words but for those marked, joined by one space."""
+        own = slice(self.starts[text], self.starts[text] + self.lengths[text])
+        stays = ~gone[own]
+        return b" ".join(
+            self.data[a:b] for a, b in zip(self.begins[own][stays].tolist(), self.ends[own][stays].tolist()))
 
     def windows(self, at: np.ndarray, width: int) -> np.ndarray:
-        return mix((self.sums[at + width] - self.sums[at]) * self.unshift[at])
+        return mix((self.sums[at + width] - self.sums[at]) * powers(INVERSE, len(self) + 1)[at])
 
     def anchors(self, window: int) -> tuple[np.ndarray, np.ndarray]:
         """Cover positions with room for an anchor, in texts with room for a window; the anchors' hashes."""
@@ -67,14 +74,14 @@ class Words:
 
     def around(self, anchors: np.ndarray, window: int) -> np.ndarray:
         """Starts of the windows that hold one of the anchors (at their first PERIOD positions)."""
-        n = len(self.values)
+        n = len(self)
         edge = np.zeros(n + 1, np.int64)
         np.add.at(edge, anchors - np.minimum(PERIOD - 1, self.position[anchors]), 1)
         np.add.at(edge, anchors + 1, -1)
         return np.flatnonzero((np.cumsum(edge[:n]) > 0) & (self.room >= window))
 
     def covered(self, windows: np.ndarray, window: int) -> np.ndarray:
-        n = len(self.values)
+        n = len(self)
         edge = np.zeros(n + 1, np.int64)
         edge[windows] += 1
         edge[windows + window] -= 1
@@ -115,68 +122,63 @@ def _shards(keys: np.ndarray, n: int, step: int) -> np.ndarray:
 
 
 def _asker_of_anchors(n_shards: int, window: int) -> Callable:
-    hashes = WordHashes()
-
     def ask(key: tuple, rows: pa.Table) -> pa.Table:
         texts = rows["_text"].to_pylist()
-        keys, often = _distinct([Words(texts[a:b], hashes).anchors(window)[1] for a, b in pieces(texts)])
+        keys, often = _distinct([Words(texts[a:b]).anchors(window)[1] for a, b in pieces(texts)])
         return _asked(keys, often, _shards(keys, n_shards, 0), block_number(key))
 
     return ask
 
 
 class _Block:
-    """A block of texts with the repeated windows' candidates, from the replies about anchors."""
+    """A block of texts, in pieces, with the repeated windows' candidates by the replies about anchors."""
 
-    def __init__(self, rows: pa.Table, replies: pa.Table, n_shards: int, window: int, hashes: WordHashes) -> None:
+    def __init__(self, rows: pa.Table, replies: pa.Table, n_shards: int, window: int) -> None:
         self.texts = rows["_text"].to_pylist()
-        self.window, self.hashes = window, hashes
-        self.anchors, _ = _distinct([Words(self.texts[a:b], hashes).anchors(window)[1] for a, b in pieces(self.texts)])
-        self.repeated = replies_in_order(self.anchors, _shards(self.anchors, n_shards, 0), replies, "u1") > 0
-
-    def candidates(self):
-        """Per piece: range of texts, words, candidate starts and their hashes."""
-        for a, b in pieces(self.texts):
-            words = Words(self.texts[a:b], self.hashes)
-            at, keys = words.anchors(self.window)
-            starts = words.around(at[self.repeated[np.searchsorted(self.anchors, keys)]], self.window)
-            yield a, b, words, starts, words.windows(starts, self.window)
+        self.pieces = [(a, Words(self.texts[a:b])) for a, b in pieces(self.texts)]
+        found = [words.anchors(window) for _, words in self.pieces]
+        anchors, _ = _distinct([keys for _, keys in found])
+        repeated = replies_in_order(anchors, _shards(anchors, n_shards, 0), replies, "u1") > 0
+        # Per piece: candidate starts and their hashes.
+        self.candidates = []
+        for (_, words), (at, keys) in zip(self.pieces, found):
+            starts = words.around(at[repeated[np.searchsorted(anchors, keys)]], window)
+            self.candidates.append((starts, words.windows(starts, window)))
+        self.keys, self.often = _distinct([keys for _, keys in self.candidates])
 
 
 def _asker_of_windows(n_shards: int, window: int) -> Callable:
-    hashes = WordHashes()
-
     def ask(key: tuple, rows: pa.Table, replies: pa.Table) -> pa.Table:
-        keys, often = _distinct([k for *_, k in _Block(rows, replies, n_shards, window, hashes).candidates()])
-        return _asked(keys, often, _shards(keys, n_shards, 1), block_number(key))
+        block = _Block(rows, replies, n_shards, window)
+        return _asked(block.keys, block.often, _shards(block.keys, n_shards, 1), block_number(key))
 
     return ask
 
 
 def _remover(n_shards: int, window: int, names: list[str], with_text: bool) -> Callable:
-    hashes = WordHashes()
-
     def remove(rows: pa.Table, replies: pa.Table) -> pa.Table:
-        block = _Block(rows, replies, n_shards, window, hashes)
-        keys, _ = _distinct([k for *_, k in block.candidates()])
-        repeated = replies_in_order(keys, _shards(keys, n_shards, 1), replies, "u1") > 0
+        block = _Block(rows, replies, n_shards, window)
+        repeated = replies_in_order(block.keys, _shards(block.keys, n_shards, 1), replies, "u1") > 0
         n_words, n_removed, digests, kept_texts = [], [], [], []
-        for a, b, words, starts, hashed in block.candidates():
-            gone = words.covered(starts[repeated[np.searchsorted(keys, hashed)]], window)
-            for i, (own, start, length) in enumerate(zip(words.words, words.starts, words.lengths)):
-                flags = gone[start:start + length]
-                removed = int(flags.sum())
-                kept = [w for w, f in zip(own, flags.tolist()) if not f] if removed else own
-                joined = b" ".join(kept)
-                n_words.append(int(length))
-                n_removed.append(removed)
+        while block.pieces:
+            first, words = block.pieces.pop(0)
+            starts, hashed = block.candidates.pop(0)
+            gone = words.covered(starts[repeated[np.searchsorted(block.keys, hashed)]], window)
+            removed = np.diff(np.concatenate([[0], np.cumsum(gone)])[np.append(words.starts, len(words))])
+            n_words += words.lengths.tolist()
+            n_removed += removed.tolist()
+            for i, cut in enumerate(removed.tolist()):
+                text = block.texts[first + i]
+                joined = words.kept(i, gone) if cut else b" ".join(text.split())
                 digests.append(hashlib.sha256(joined).hexdigest())
-                kept_texts.append(joined if removed else block.texts[a + i])
+                if with_text:
+                    kept_texts.append(joined if cut else text)
         columns = {name: rows[name] for name in names}
         columns |= {"n_words": pa.array(n_words, pa.int64()), "n_removed": pa.array(n_removed, pa.int64()),
                     "kept_sha256": pa.array(digests, pa.string())}
         if with_text:
-            columns["kept_text"] = pa.array([t.decode() for t in kept_texts], pa.string())
+            # Text without whole words is still valid UTF-8: words end at ASCII white space.
+            columns["kept_text"] = pa.array(kept_texts, pa.binary()).cast(pa.string())
         return pa.table(columns)
 
     return remove
