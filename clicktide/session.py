@@ -14,6 +14,8 @@ RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Rows go to Python workers in batches of at most 8 MB, however long they are.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8388608",
     # A silent input must hold results back, never be skipped.
     "spark.sql.streaming.multipleWatermarkPolicy": "min",
     # State lives off-heap and only its changes are uploaded per micro-batch.
