@@ -14,11 +14,14 @@ from clicktide.session import configure
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 # Identities of kept rows (16 bytes each) that are broadcast; joined by shuffle beyond.
 BROADCAST_KEPT = 2_000_000
+# Blocks of the classifier, half of its own default: executors keep what earlier stages' workers have taken.
+QUALITY_BLOCK_BYTES = 12 << 20
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier keeps; repeated rows are kept or go together."""
-    decided = quality.classify(docs, configure(spark).read.parquet(f"{sf_dir}/labels.parquet"))
+    labels = configure(spark).read.parquet(f"{sf_dir}/labels.parquet")
+    decided = quality.classify(docs, labels, block_bytes=QUALITY_BLOCK_BYTES)
     kept = written(decided.where("kept").select(F.col("row_id").alias("_row_id")).distinct(), "kept")
     return docs.join(small(kept, BROADCAST_KEPT), quality.row_id(docs) == F.col("_row_id"), "left_semi")
 
