@@ -1,10 +1,12 @@
 """Lexical retrieval packing: documents share a training window with their nearest unused neighbours by BM25.
 
-Documents are dealt to shards of bounded size by a hash of the row. A shard keeps an inverted index of its documents
-with BM25 weights; each seed document asks it for unused neighbours by its most telling terms, and these fill the
-window. Neighbours that fit go in whole, then the best that does not fit is cut, and its rest opens the next window.
-So windows are full; what is left at a shard's end is cut into sequences whose lengths are powers of two, which need
-no padding. Shards are independent: a lost task packs its shard again, to the same sequences.
+Numbers of documents per term are counted over the whole corpus. Documents are dealt to shards by content: in the order
+of their most telling terms, so documents that share rare terms lie next to each other however many shards there are; a
+shard is a bounded stretch of that order. It keeps an inverted index of its documents with BM25 weights; each seed
+document asks it for unused neighbours by its most telling terms, and these fill the window. Neighbours that fit go in
+whole, then the best that does not fit is cut, and its rest opens the next window. So windows are full; what is left at
+a shard's end is cut into sequences whose lengths are powers of two, which need no padding. Shards are independent: a
+lost task packs its shards again, to the same sequences.
 """
 
 from __future__ import annotations
@@ -18,11 +20,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clicktide.llm.exchange import written
 from clicktide.llm.tokens import encoder, vocabulary_path
 
 WINDOW = 1024
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20  # of two-byte ids
+# Partitions that the order of telling terms is dealt to at most; a task cuts its own into shards.
+MOST_PARTITIONS = 20_000
 K1, B = 1.2, 0.75
+# Terms of a document that decide its place in the order.
+PLACE_TERMS = 4
+# Terms that a seed asks with, and neighbours that one question gets; a seed asks again when they are all used.
 QUERY_TERMS = 24
 NEIGHBOURS = 64
 END_ID = 0
@@ -30,13 +38,16 @@ PIECES = """doc_id long, start long, length long, ids_crc32 long, doc_tokens lon
     sequence_length long"""
 
 
+ENCODED = "doc_id long, _wide boolean, _ids binary"
+
+
 def _encoded(path: str) -> Callable:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = encoder(path).ids
         for batch in batches:
             blobs = [np.append(ids_of(t), np.uint32(END_ID)) for t in batch["_text"].to_pylist()]
             yield pa.record_batch({
-                "_shard": batch["_shard"], "doc_id": batch["doc_id"],
+                "doc_id": batch["doc_id"],
                 # Two bytes an id where the vocabulary allows it, for the shuffle.
                 "_wide": pa.array([bool(len(b) and b.max() > 0xFFFF) for b in blobs]),
                 "_ids": pa.array([b.astype("<u4" if b.max() > 0xFFFF else "<u2").tobytes() for b in blobs], pa.binary()),
@@ -45,24 +56,87 @@ def _encoded(path: str) -> Callable:
     return encode
 
 
+def _ids_of(batch: pa.RecordBatch) -> list[np.ndarray]:
+    return [np.frombuffer(b, "<u4" if w else "<u2").astype("<u4")
+            for b, w in zip(batch["_ids"].to_pylist(), batch["_wide"].to_pylist())]
+
+
+class Corpus:
+    """Number of documents, their mean length, and for each term the number of documents that hold it."""
+
+    def __init__(self, n: int, tokens: int, df: np.ndarray) -> None:
+        self.n, self.mean, self.df = n, tokens / max(1, n), df
+
+    def idf(self, terms: np.ndarray) -> np.ndarray:
+        return np.log1p((self.n - self.df[terms] + 0.5) / (self.df[terms] + 0.5))
+
+    def weights(self, terms: np.ndarray, tf: np.ndarray, length: object) -> np.ndarray:
+        """BM25 weight of terms that occur ``tf`` times in documents of a length."""
+        return self.idf(terms) * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / self.mean))
+
+
+def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A task's number of documents per term; documents under -1, tokens under -2."""
+    df, n, tokens = np.zeros(0, np.int64), 0, 0
+    for batch in batches:
+        for ids in _ids_of(batch):
+            n, tokens = n + 1, tokens + len(ids)
+            terms = np.unique(ids)
+            if terms[-1] >= len(df):
+                df = np.concatenate([df, np.zeros(int(terms[-1]) + 1 - len(df), np.int64)])
+            df[terms] += 1
+    held = np.flatnonzero(df)
+    yield pa.record_batch({
+        "term": np.concatenate([[-1, -2], held]).astype(np.int64), "n": np.concatenate([[n, tokens], df[held]]).astype(np.int64)})
+
+
+def corpus_of(encoded: DataFrame) -> Corpus:
+    """Counted over all documents; at most one row per token of the vocabulary comes back."""
+    rows = encoded.select("_ids", "_wide").mapInArrow(_document_counts, "term long, n long").groupBy("term").agg(
+        F.sum("n").alias("n")).toPandas()
+    found = dict(zip(rows["term"].tolist(), rows["n"].tolist()))
+    n, tokens = found.pop(-1, 0), found.pop(-2, 0)
+    df = np.zeros(max(found, default=0) + 1, np.int64)
+    df[list(found)] = list(found.values())
+    return Corpus(n, tokens, df)
+
+
+def telling(ids: np.ndarray, corpus: Corpus) -> np.ndarray:
+    """The document's terms that others hold too, by falling BM25 weight, then by number."""
+    terms, tf = np.unique(ids, return_counts=True)
+    shared = corpus.df[terms] > 1
+    terms, tf = terms[shared], tf[shared]
+    return terms[np.lexsort((terms, -corpus.weights(terms, tf, len(ids))))]
+
+
+def _placed(corpus: Corpus) -> Callable:
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            # Rare terms first: those of like documents agree most often.
+            firsts = [telling(ids, corpus)[:PLACE_TERMS] for ids in _ids_of(batch)]
+            places = [t[np.lexsort((t, corpus.df[t]))].astype(">u4").tobytes() for t in firsts]
+            yield pa.record_batch({
+                "_place": pa.array(places, pa.binary()), **{c: batch[c] for c in ("doc_id", "_wide", "_ids")}})
+
+    return place
+
+
 class Index:
     """Inverted index of a shard: for each term its documents and BM25 weights."""
 
-    def __init__(self, docs: list[np.ndarray]) -> None:
+    def __init__(self, docs: list[np.ndarray], corpus: Corpus) -> None:
         n = len(docs)
         lengths = np.fromiter(map(len, docs), np.int64, n)
         owner = np.repeat(np.arange(n, dtype=np.int64), lengths)
-        terms = np.concatenate(docs).astype(np.int64)
-        pairs, tf = np.unique(terms << 32 | owner, return_counts=True)
+        pairs, tf = np.unique(np.concatenate(docs).astype(np.int64) << 32 | owner, return_counts=True)
+        del owner
         self.term, self.doc = pairs >> 32, pairs & 0xFFFFFFFF
-        self.terms, first, df = np.unique(self.term, return_index=True, return_counts=True)
+        self.terms, first, here = np.unique(self.term, return_index=True, return_counts=True)
         self.first = np.append(first, len(pairs))
-        idf = np.log1p((n - df + 0.5) / (df + 0.5))
-        norm = K1 * (1 - B + B * lengths / lengths.mean())
-        self.weight = np.repeat(idf, df) * tf * (K1 + 1) / (tf + norm[self.doc])
-        # Each document's terms by falling weight; terms of its own only find nobody.
-        number = np.repeat(np.arange(len(self.terms)), df)
-        shared = np.flatnonzero(np.repeat(df, df) > 1)
+        self.weight = corpus.weights(self.term, tf, lengths[self.doc])
+        # Each document's terms by falling weight; terms that no other document of the shard holds find nobody.
+        number = np.repeat(np.arange(len(self.terms)), here)
+        shared = np.flatnonzero(np.repeat(here, here) > 1)
         order = shared[np.lexsort((number[shared], -self.weight[shared], self.doc[shared]))]
         self.of_doc = number[order]
         self.bounds = np.searchsorted(self.doc[order], np.arange(n + 1))
@@ -122,6 +196,8 @@ def pack(lengths: np.ndarray, index: Index, window: int) -> list[list[tuple[int,
         if left:
             put(left[0], 0)
             continue
+        if len(ranked):  # all put in: there may be more than one question returns
+            continue
         while following < n and used[following]:
             following += 1
         if following < n:
@@ -142,18 +218,12 @@ def pack(lengths: np.ndarray, index: Index, window: int) -> list[list[tuple[int,
     return sequences
 
 
-def _packer(window: int, with_ids: bool) -> Callable:
-    def run(key: tuple, rows: pa.Table) -> pa.Table:
-        shard = key[0].as_py() if hasattr(key[0], "as_py") else int(key[0])
-        docs = [np.frombuffer(b, "<u4" if w else "<u2").astype("<u4")
-                for b, w in zip(rows["_ids"].to_pylist(), rows["_wide"].to_pylist())]
-        names = rows["doc_id"].to_pylist()
-        order = sorted(range(len(docs)), key=lambda i: (names[i] is None, names[i] or 0, docs[i].tobytes()))
-        docs, names = [docs[i] for i in order], [names[i] for i in order]
+def _packer(window: int, with_ids: bool, shard_bytes: int, corpus: Corpus) -> Callable:
+    def shard_rows(shard: int, names: list, docs: list[np.ndarray]) -> pa.RecordBatch:
         lengths = np.fromiter(map(len, docs), np.int64, len(docs))
         columns: list[list] = [[] for _ in range(8)]
         ids = []
-        for number, sequence in enumerate(pack(lengths, Index(docs), window)):
+        for number, sequence in enumerate(pack(lengths, Index(docs, corpus), window)):
             offset = 0
             total = sum(length for _, _, length in sequence)
             for doc, start, length in sequence:
@@ -169,7 +239,23 @@ def _packer(window: int, with_ids: bool) -> Callable:
                  for name, column in zip(names_of, columns)}
         if with_ids:
             table["ids"] = pa.array(ids, pa.binary())
-        return pa.table(table)
+        return pa.record_batch(table)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Cut a partition, in order, into shards of about ``shard_bytes`` (as two-byte ids) and pack each."""
+        from pyspark import TaskContext
+
+        shard = TaskContext.get().partitionId() << 16
+        names, docs, held = [], [], 0
+        for batch in batches:
+            for name, ids in zip(batch["doc_id"].to_pylist(), _ids_of(batch)):
+                names.append(name), docs.append(ids)
+                held += 2 * len(ids)
+                if held >= shard_bytes:
+                    yield shard_rows(shard, names, docs)
+                    shard, names, docs, held = shard + 1, [], [], 0
+        if docs:
+            yield shard_rows(shard, names, docs)
 
     return run
 
@@ -187,12 +273,15 @@ def pack_documents(
     """
     if window & (window - 1):
         raise ValueError("window must be a power of two")
-    text = F.coalesce("text", F.lit(""))
-    size = docs.agg(F.sum(F.octet_length("text") + 4)).first()[0] or 0
-    n = max(1, math.ceil(size / shard_bytes))
-    rows = docs.select(
-        F.pmod(F.xxhash64("doc_id", text), F.lit(n)).cast("int").alias("_shard"), "doc_id", text.alias("_text"))
-    encoded = rows.mapInArrow(
-        _encoded(vocabulary or vocabulary_path()), "_shard int, doc_id long, _wide boolean, _ids binary")
-    return encoded.groupBy("_shard").applyInArrow(
-        _packer(window, with_ids), PIECES + (", ids binary" if with_ids else ""))
+    path = vocabulary or vocabulary_path()
+    encoded = written(
+        docs.select("doc_id", F.coalesce("text", F.lit("")).alias("_text")).mapInArrow(_encoded(path), ENCODED), "encoded")
+    corpus = corpus_of(encoded)
+    size = encoded.agg(F.sum(F.octet_length("_ids"))).first()[0] or 0
+    n = min(MOST_PARTITIONS, max(1, math.ceil(size / shard_bytes)))
+    # The ids' hash last: copies of a document may fill several shards.
+    order = ["_place", "doc_id", "_hash"]
+    placed = encoded.mapInArrow(_placed(corpus), f"_place binary, {ENCODED}").withColumn("_hash", F.xxhash64("_ids"))
+    dealt = placed.coalesce(1) if n == 1 else placed.repartitionByRange(n, *order)
+    return dealt.sortWithinPartitions(*order).select("doc_id", "_wide", "_ids").mapInArrow(
+        _packer(window, with_ids, shard_bytes, corpus), PIECES + (", ids binary" if with_ids else ""))

@@ -10,9 +10,14 @@ from __future__ import annotations
 import base64
 import os
 import re
+from functools import cached_property
+from typing import TYPE_CHECKING
 
 import numpy as np
 
+if TYPE_CHECKING:
+    from tokenizers import Tokenizer
+
 SPECIAL = "<|endoftext|>"
 _NOT_PLAIN = re.compile("[^\t\n\r -~¡-ɏ]")
 
@@ -30,9 +35,8 @@ class Encoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks already use all cores
         import public_tokenizers
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.path = path
         with open(path.removesuffix(".json") + ".tiktoken", "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         self.fast = tiktoken.Encoding(
@@ -41,6 +45,13 @@ class Encoder:
         for token, rank in ranks.items():
             self.size[rank] = len(token)
 
+    @cached_property
+    def tokenizer(self) -> Tokenizer:
+        """Loaded for the first text that needs it."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
     def _plain(self, text: str) -> bool:
         return not _NOT_PLAIN.search(text) and SPECIAL not in text
 
