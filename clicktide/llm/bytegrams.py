@@ -49,3 +49,24 @@ def counted(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 def distinct(parts: list[np.ndarray]) -> np.ndarray:
     return merged_counts([(k, np.ones(len(k), np.int64)) for k in parts])[0]
+
+
+class Symbols:
+    """All symbols of consecutive texts by key: the distinct keys in order, how often each occurs, and whose symbols.
+
+    One sort puts equal symbols together, so values of distinct keys are looked up in order and go back by it.
+    """
+
+    def __init__(self, texts: list[bytes]) -> None:
+        keys, lengths = keys_of(texts)
+        order = np.argsort(keys)
+        self.lengths = lengths
+        self.owner = np.repeat(np.arange(len(texts), dtype=np.int32), lengths)[order]
+        keys = keys[order]
+        starts = np.concatenate([[0], np.flatnonzero(np.diff(keys)) + 1]) if len(keys) else np.empty(0, np.int64)
+        self.keys, self.times = keys[starts], np.diff(np.concatenate([starts, [len(keys)]]))
+
+    def sums(self, keys: np.ndarray, values: np.ndarray) -> np.ndarray:
+        """Sum of the symbols' values of every text; ``values`` are those of the sorted ``keys``, which hold all."""
+        own = values[np.searchsorted(keys, self.keys)]
+        return np.bincount(self.owner, np.repeat(own, self.times), len(self.lengths))

@@ -4,9 +4,11 @@ The model is trained on all trusted rows but those set aside for the thresholds.
 two nearest context bytes; a shard joins its counts with the n-grams that blocks of documents ask for. Discounts
 (three per order) and the two shortest orders are global and small: at most 256 * 256 rows.
 
-A document is kept if its perplexity is at most a high quantile of the set-aside trusted documents of its language and
-length class (short texts vary more), the distance from the median widened by SLACK. There is no lower limit: texts
-that the model has seen lie low.
+A document is kept if its perplexity is at most the limit of its language and length class (short texts vary more): a
+high quantile of the set-aside trusted documents, its distance from the median widened by SLACK. Quantiles are read off
+counts in fine bins of log perplexity. A class's limit leans on its language's and length class's, and a language's on
+that of all, by PRIOR documents: the fewer its own, the more, by one formula at every size. There is no lower limit:
+texts that the model has seen lie low.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clicktide.llm import bytegrams
@@ -28,8 +30,10 @@ from clicktide.llm.exchange import (
 # Ids of trusted documents are broadcast up to this many (8 bytes each), and joined by shuffle beyond.
 BROADCAST_IDS = 4_000_000
 QUANTILE, SLACK = 0.995, 1.3
-# A class with fewer set-aside documents uses its language's thresholds.
-LEAST_IN_CLASS = 40
+# Documents that the wider group's limit counts for in that of a narrower one.
+PRIOR = 40
+# Width of the bins of log perplexity.
+BIN = 0.01
 MEASURED = "row_id long, doc_id long, lang string, trusted boolean, aside boolean, n_symbols long, perplexity double"
 
 
@@ -158,18 +162,14 @@ def _answerer(top: dict[int, Order], discounts: dict[int, np.ndarray]) -> Callab
 def _measurer(n_shards: int) -> Callable:
     def measure(rows: pa.Table, replies: pa.Table) -> pa.Table:
         texts = rows["_text"].to_pylist()
-        grams = _grams(texts)
+        parts = [bytegrams.Symbols(texts[a:b]) for a, b in pieces(texts)]
+        grams = bytegrams.distinct([p.keys for p in parts])
         values = replies_in_order(grams, bytegrams.shard_of(grams, n_shards), replies, "f4", from_planes).astype(np.float64)
-        logs, sizes = [np.empty(0)], [np.empty(0, np.int64)]
-        for a, b in pieces(texts):
-            keys, lengths = bytegrams.keys_of(texts[a:b])
-            starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-            logs.append(np.add.reduceat(values[np.searchsorted(grams, keys)], starts))
-            sizes.append(lengths)
-        sizes = np.concatenate(sizes)
+        logs = np.concatenate([np.empty(0), *(p.sums(grams, values) for p in parts)])
+        sizes = np.concatenate([np.empty(0, np.int64), *(p.lengths for p in parts)])
         return pa.table({
             **{name: rows[name] for name in ("row_id", "doc_id", "lang", "trusted", "aside")},
-            "n_symbols": sizes, "perplexity": np.exp(-np.concatenate(logs) / np.maximum(sizes, 1))})
+            "n_symbols": sizes, "perplexity": np.exp(-logs / np.maximum(sizes, 1))})
 
     return measure
 
@@ -211,6 +211,44 @@ def size_class(n: object) -> object:
     return F.greatest(F.lit(0), F.floor(F.log2(n) / 2) - 3).cast("int")
 
 
+def limits_of(measured: DataFrame, quantile: float, slack: float) -> DataFrame:
+    """(lang, _class, limit) of every language and length class of ``measured``; null limits if nothing is set aside."""
+    counts = written(
+        measured.where("aside").groupBy("lang", "_class", F.floor(F.log("perplexity") / BIN).alias("_bin")).agg(
+            F.count("*").alias("_count")), "perplexity-bins")
+
+    def own(*by: str) -> DataFrame:
+        """Number of documents of each group and its limit by them alone, as a logarithm."""
+        group = Window.partitionBy(*(by or [F.lit(0)]))
+        bins = counts.groupBy(*by, "_bin").agg(F.sum("_count").alias("_count")).select(
+            *by, "_bin", F.sum("_count").over(group).alias("_n"), F.sum("_count").over(group.orderBy("_bin")).alias("_upto"))
+
+        def at(share: float) -> object:  # upper edge of the bin that reaches the share
+            return (F.min(F.when(F.col("_upto") >= share * F.col("_n"), F.col("_bin"))) + 1) * BIN
+
+        found = bins.groupBy(*by).agg(F.max("_n").alias("_n"), at(0.5).alias("_middle"), at(quantile).alias("_high"))
+        return found.select(*by, "_n", (F.col("_middle") + slack * (F.col("_high") - F.col("_middle"))).alias("_own"))
+
+    def named(frame: DataFrame, suffix: str) -> DataFrame:
+        return frame.toDF(*[f"{c}_{suffix}" for c in frame.columns])
+
+    def leaning(n: str, limit: str, wider: object) -> object:
+        n, limit = F.coalesce(F.col(n), F.lit(0)), F.coalesce(F.col(limit), F.lit(0.0))
+        return (n * limit + PRIOR * wider) / (n + PRIOR)
+
+    both, lang, size, every = (
+        named(own(*by), suffix) for by, suffix in ((("lang", "_class"), "b"), (("lang",), "l"), (("_class",), "c"), ((), "a")))
+    groups = measured.select("lang", "_class").distinct().withColumn("_one", F.lit(1))
+    joined = (
+        groups.join(both, F.col("lang").eqNullSafe(F.col("lang_b")) & (F.col("_class") == F.col("_class_b")), "left")
+        .join(lang, F.col("lang").eqNullSafe(F.col("lang_l")), "left")
+        .join(size, F.col("_class") == F.col("_class_c"), "left")
+        .join(every.withColumn("_one", F.lit(1)), "_one", "left"))
+    of_all = F.col("_own_a")
+    wider = F.greatest(leaning("_n_l", "_own_l", of_all), leaning("_n_c", "_own_c", of_all))
+    return joined.select("lang", "_class", F.exp(leaning("_n_b", "_own_b", wider)).alias("limit"))
+
+
 def classify(
     docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, slack: float = SLACK,
     block_bytes: int = BLOCK_BYTES,
@@ -218,33 +256,14 @@ def classify(
     """Decide every row of ``docs(doc_id, text, lang, ...)`` by the trusted rows that ``labels`` names.
 
     Returns row_id, doc_id, lang, trusted, aside, n_symbols, perplexity, limit and kept. Null texts are empty and, like
-    every text, judged by their perplexity. Where a language (null is one) has fewer than LEAST_IN_CLASS set-aside
-    rows of a length class, the larger of the language's and the length class's limits holds, or else that of all
-    rows; with no set-aside row at all every row is kept. Repeated rows get the same decision. Other columns are
-    ignored; an empty table gives an empty result.
+    every text, judged by their perplexity; a null language is one. The limit of a language and length class leans, by
+    PRIOR documents, on the larger of the language's and the length class's, and these on that of all rows; with no
+    set-aside row at all every row is kept. Repeated rows get the same decision. Other columns are ignored; an empty
+    table gives an empty result.
     """
     measured = written(perplexities(docs, trusted_ids(labels), block_bytes), "quality").withColumn(
         "_class", size_class(F.col("n_symbols")))
-    aside = measured.where("aside")
-
-    def limit(*by: str) -> DataFrame:
-        at = F.percentile(F.log("perplexity"), F.array(F.lit(0.5), F.lit(quantile)))
-        found = aside.groupBy(*by).agg(at.alias("_at"), F.count("*").alias("_n"))
-        return found.select(
-            *[F.col(c).alias(f"_{c}") for c in by], "_n", F.exp(F.col("_at")[0] + slack * (F.col("_at")[1] - F.col("_at")[0])).alias("_limit"))
-
-    by_both = limit("lang", "_class").where(F.col("_n") >= LEAST_IN_CLASS).withColumnRenamed("_limit", "_both")
-    by_lang = limit("lang").withColumnRenamed("_limit", "_in_lang").withColumnRenamed("_lang", "_l")
-    by_class = limit("_class").withColumnRenamed("_limit", "_in_class").withColumnRenamed("__class", "_c")
-    of_all = limit().withColumn("_one", F.lit(1)).withColumnRenamed("_limit", "_in_all")
-    limits = (
-        measured.select("lang", "_class").distinct().withColumn("_one", F.lit(1))
-        .join(by_both.drop("_n"), F.col("lang").eqNullSafe(F.col("_lang")) & (F.col("_class") == F.col("__class")), "left")
-        .join(by_lang.drop("_n"), F.col("lang").eqNullSafe(F.col("_l")), "left")
-        .join(by_class.drop("_n"), F.col("_class") == F.col("_c"), "left")
-        .join(of_all.drop("_n"), "_one", "left")
-        .select(F.col("lang").alias("_of"), F.col("_class").alias("_size"),
-                F.coalesce("_both", F.greatest("_in_lang", "_in_class"), "_in_all").alias("limit")))
+    limits = limits_of(measured, quantile, slack).toDF("_of", "_size", "limit")
     return (
         measured.join(limits, F.col("lang").eqNullSafe(F.col("_of")) & (F.col("_class") == F.col("_size")), "left")
         .withColumn("kept", F.coalesce(F.col("perplexity") <= F.col("limit"), F.lit(True)))
