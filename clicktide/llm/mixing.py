@@ -25,6 +25,8 @@ SEED = 20260101
 ROUNDS = 12
 # Rows of a bin of the running sums.
 BIN_ROWS = 1000
+# Slots are made in chunks, so many a task, in so many tasks at most.
+CHUNKS_PER_TASK, MOST_TASKS = 16, 100_000
 # Sources (about 100 bytes each) that are broadcast; joined by shuffle beyond.
 BROADCAST_SOURCES = 100_000
 SPACE = "[ \\t-\\r]+"
@@ -109,9 +111,12 @@ def slots(sources: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
         .where("_slots > 0")
     )
     chunk = 4096
+    # By number, since adaptive execution would merge what a few small rows are dealt to: they grow a thousandfold here.
+    total = plan.agg(F.sum(F.floor((F.col("_slots") - 1) / chunk) + 1)).first()[0] or 0
+    tasks = min(MOST_TASKS, max(1, -(-int(total) // CHUNKS_PER_TASK)))
     numbers = (
         plan.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_slots") - 1) / chunk))).alias("_chunk"))
-        .repartition(F.col("source_no"), F.col("_chunk"))
+        .repartition(tasks, F.col("source_no"), F.col("_chunk"))
         .select("*", F.explode(F.sequence(F.col("_chunk") * chunk, F.least(F.col("_slots"), (F.col("_chunk") + 1) * chunk) - 1)).alias("_j"))
         .withColumn("pass", F.floor(F.col("_j") / F.col("_blocks")).cast("long"))
         .withColumn("_pos", F.col("_j") - F.col("pass") * F.col("_blocks"))
