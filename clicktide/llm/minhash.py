@@ -168,7 +168,8 @@ def _with_texts(needed: DataFrame, texts: DataFrame, ids: DataFrame, repeated: b
         wanted = small(needed.select("_rep").distinct(), BROADCAST_ROWS)
         once = once.join(wanted, F.col("row_id") == F.col("_rep"), "left_semi").groupBy("row_id").agg(
             F.first("_text").alias("_text"))
-    return once.join(small(needed, BROADCAST_ROWS), F.col("row_id") == F.col("_rep")).drop("row_id", "_rep")
+    # Rows of ``needed`` may hold a tile's partners, so their number says nothing of their size: Spark weighs them.
+    return once.join(needed, F.col("row_id") == F.col("_rep")).drop("row_id", "_rep")
 
 
 def components(links: DataFrame) -> DataFrame:
