@@ -23,14 +23,16 @@ from pyspark.sql import functions as F
 from clicktide.llm import bytegrams
 from clicktide.llm.bytegrams import CONTEXT
 from clicktide.llm.exchange import (
-    ASKED, BLOCK_BYTES, REPLIES, WordHashes, asked_rows, block_number, blocks_of, counts_of, merged_counts, mix,
-    pieces, replies_in_order, sharded_counts,
+    ASKED, REPLIES, asked_rows, block_number, blocks_of, counts_of, mix, pieces, replies_in_order, sharded_counts,
 )
+from clicktide.llm.wordhash import hashes_of, is_space, words_in
 
 HALF = math.log(0.5)
 LOG10 = math.log(10)
-# The end of a text as a word: no word of UTF-8 text is this byte.
-END = b"\xff"
+# The end of a text stands among the words' hashes as this value.
+END = np.uint64(0xE4D0F7E87E57A11)
+# Smaller blocks than other operators': the last step holds the order of all of a block's symbols.
+BLOCK_BYTES = 16 << 20
 SCORES = """doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double,
     score double, n_bytes long, bits_per_byte double"""
 
@@ -162,31 +164,36 @@ def log_probabilities(keys: np.ndarray, levels: dict[int, Level]) -> np.ndarray:
 # ---- training and scoring ------------------------------------------------------------------------
 
 
-def words_of(text: bytes) -> list[bytes]:
-    """Words and the end; A-Z in lower case."""
-    return [*text.lower().split(), END]
-
-
-def _spelled(words: list[bytes]) -> bytes:
-    """What the model scores: the words joined by one space (the end follows as a symbol of its own)."""
-    return b" ".join(words[:-1])
+def tokens_of(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """What the model scores of each text, its words (A-Z in lower case) joined by one space; the hashes of all texts'
+    words, each text's followed by its end; and the numbers of these. (The end follows a scored text as a symbol.)"""
+    data = np.frombuffer(b"\n".join([*texts, b""]).lower(), np.uint8)
+    begins, ends = words_in(data)
+    bounds = np.cumsum([0, *(len(t) + 1 for t in texts)])
+    first = np.searchsorted(begins, bounds)
+    n_words = np.diff(first)
+    # Of the white space, one byte behind each word stays, unless the word is its text's last.
+    followed = np.ones(len(ends), bool)
+    followed[first[1:][n_words > 0] - 1] = False
+    stays = ~is_space(data)
+    stays[ends[followed]] = True
+    spaced = data.copy()
+    spaced[ends[followed]] = 32
+    kept = spaced[stays].tobytes()
+    at = np.concatenate([[0], np.cumsum(stays)])[bounds].tolist()
+    words = np.insert(hashes_of(data, begins, ends), first[1:], END)
+    return [kept[a:b] for a, b in zip(at, at[1:])], words, n_words + 1
 
 
 def train(rows: DataFrame, n_shards: int) -> tuple[DataFrame, DataFrame]:
     """Packed counts of byte n-grams and of words over all rows with a ``_text``."""
     def grams(batch: pa.RecordBatch) -> list:
-        texts = [_spelled(words_of(t)) for t in batch["_text"].to_pylist()]
-        return [bytegrams.counted(texts[a:b]) for a, b in pieces(texts)]
-
-    hashes = WordHashes()
+        texts = batch["_text"].to_pylist()
+        return [bytegrams.counted(tokens_of(texts[a:b])[0]) for a, b in pieces(texts)]
 
     def words(batch: pa.RecordBatch) -> list:
         texts = batch["_text"].to_pylist()
-        out = []
-        for a, b in pieces(texts):
-            keys = np.concatenate([hashes.of(words_of(t)) for t in texts[a:b]])
-            out.append(merged_counts([(keys, np.ones(len(keys), np.int64))]))
-        return out
+        return [np.unique(tokens_of(texts[a:b])[1], return_counts=True) for a, b in pieces(texts)]
 
     texts = rows.select("_text")
     return (
@@ -196,10 +203,8 @@ def train(rows: DataFrame, n_shards: int) -> tuple[DataFrame, DataFrame]:
 
 
 def _asker(n_shards: int) -> Callable:
-    hashes = WordHashes()
-
     def ask(key: tuple, table: pa.Table) -> pa.Table:
-        grams, words = _questions(table, hashes)
+        grams, words = _questions(table)
         block = block_number(key)
         return pa.concat_tables([
             asked_rows(grams, bytegrams.shard_of(grams, n_shards), block),
@@ -214,14 +219,24 @@ def _word_shard(words: np.ndarray, n_shards: int) -> np.ndarray:
     return (mix(words) % np.uint64(n_shards)).astype(np.int32) + n_shards
 
 
-def _questions(table: pa.Table, hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
+class _Piece:
+    """Symbols and words of consecutive texts."""
+
+    def __init__(self, texts: list[bytes]) -> None:
+        spelled, words, self.n_words = tokens_of(texts)
+        self.size = np.fromiter(map(len, spelled), np.int64, len(spelled))
+        self.symbols = bytegrams.Symbols(spelled)
+        self.words, self.word_at = np.unique(words, return_inverse=True)
+
+
+def _questions(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """The distinct n-gram and word keys of a block, sorted."""
     texts = table["_text"].to_pylist()
     grams, words = [], []
     for a, b in pieces(texts):
-        split = [words_of(t) for t in texts[a:b]]
-        grams.append(bytegrams.counted([_spelled(w) for w in split])[0])
-        words.append(np.unique(np.concatenate([hashes.of(w) for w in split])))
+        spelled, own, _ = tokens_of(texts[a:b])
+        grams.append(bytegrams.counted(spelled)[0])
+        words.append(np.unique(own))
     return bytegrams.distinct(grams), bytegrams.distinct(words)
 
 
@@ -246,26 +261,21 @@ def _answerer(n_shards: int, top: dict[int, Level]) -> Callable:
 
 
 def _scorer(n_shards: int, n_train: int, n_distinct: int) -> Callable:
-    hashes = WordHashes()
-
     def score(rows: pa.Table, replies: pa.Table) -> pa.Table:
-        grams, words = _questions(rows, hashes)
+        texts = rows["_text"].to_pylist()
+        parts = [_Piece(texts[a:b]) for a, b in pieces(texts)]
+        grams = bytegrams.distinct([p.symbols.keys for p in parts])
+        words = bytegrams.distinct([p.words for p in parts])
         gram_values = replies_in_order(grams, bytegrams.shard_of(grams, n_shards), replies, "f8")
         word_values = replies_in_order(words, _word_shard(words, n_shards), replies, "f8")
         base_of = np.log10((word_values + 0.1) / (n_train + 0.1 * (n_distinct + 1)))
-        texts = rows["_text"].to_pylist()
         tokens, known, base, scores, size = ([] for _ in range(5))
-        for a, b in pieces(texts):
-            split = [words_of(t) for t in texts[a:b]]
-            spelled = [_spelled(w) for w in split]
-            size += [len(s) for s in spelled]
-            keys, lengths = bytegrams.keys_of(spelled)
-            starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-            scores.append(np.add.reduceat(gram_values[np.searchsorted(grams, keys)], starts) / LOG10)
-            n_words = np.fromiter(map(len, split), np.int64, len(split))
-            at = np.searchsorted(words, np.concatenate([hashes.of(w) for w in split]))
-            starts = np.concatenate([[0], np.cumsum(n_words)[:-1]])
-            tokens.append(n_words)
+        for part in parts:
+            size += part.size.tolist()
+            scores.append(part.symbols.sums(grams, gram_values) / LOG10)
+            at = np.searchsorted(words, part.words)[part.word_at]
+            starts = np.concatenate([[0], np.cumsum(part.n_words)[:-1]])
+            tokens.append(part.n_words)
             known.append(np.add.reduceat((word_values[at] > 0).astype(np.int64), starts))
             base.append(np.add.reduceat(base_of[at], starts))
         score = np.concatenate(scores) if scores else np.empty(0)
