@@ -1,22 +1,23 @@
 """Resolution of not-modified revisits in web archives.
 
 A revisit (status 304) stands for the latest earlier full response (status 200) of the same canonical URL. The as-of
-join runs in cells of URL and time bin: bins are time ranges of about BIN_ROWS rows, so a URL with a third of all
-captures is spread over as many tasks; what a cell cannot see is the last response of earlier bins, carried over as one
-row per cell. The response found must match the revisit's validators; then the permitted headers of the revisit
+join runs in cells: the captures in the order of URL and time are cut into ranges of about CELL_ROWS rows, and a cell is
+what a range holds of a URL, so a URL with a third of all captures is spread over as many tasks as its rows need. What a
+cell cannot see is the last response of the URL's earlier cells, carried over as one row per cell. The response found must match the revisit's validators; then the permitted headers of the revisit
 replace those of the response (RFC 9111, section 3.2).
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from clicktide.llm.exchange import written
 
-BIN_ROWS = 50_000
-MOST_BINS = 512
+CELL_ROWS = 500_000
 # Headers that a revisit may bring up to date; fields of the connection or the content stay those of the response.
 PERMITTED = ("age", "cache-control", "date", "etag", "expires", "last-modified", "vary", "warning")
 
@@ -43,13 +44,14 @@ def _strong(etag: Column) -> Column:
     return F.regexp_replace(etag, "^W/", "")
 
 
-def _bins(captures: DataFrame) -> Column:
-    n = captures.count()
-    bins = min(MOST_BINS, n // BIN_ROWS)
-    edges = captures.approxQuantile("at", [i / bins for i in range(1, bins)], 0.1 / bins) if bins > 1 else []
-    if not edges:
-        return F.lit(0)
-    return F.size(F.filter(F.array(*[F.lit(int(e)) for e in sorted(set(edges))]), lambda e: e <= F.col("at")))
+def _in_cells(narrow: DataFrame) -> DataFrame:
+    """With the number of its range in ``_cell``; rows of one URL and time are in one cell.
+
+    Written, since the borders of ranges come from a sample and are to be the same wherever the rows are read.
+    """
+    ranges = max(1, math.ceil(narrow.count() / CELL_ROWS))
+    dealt = narrow.repartitionByRange(ranges, "url", "at") if ranges > 1 else narrow
+    return written(dealt.withColumn("_cell", F.spark_partition_id() if ranges > 1 else F.lit(0)), "cells")
 
 
 def resolve(captures: DataFrame) -> DataFrame:
@@ -70,15 +72,15 @@ def resolve(captures: DataFrame) -> DataFrame:
     narrow = rows.where("status IN (200, 304) AND url IS NOT NULL AND at IS NOT NULL").select(
         "_row", "record_id", "url", "at", "status",
         F.xxhash64("digest", F.array_sort(F.map_entries("headers"))).alias("_content"))
-    binned = narrow.withColumn("_bin", _bins(narrow))
+    cells = _in_cells(narrow)
     # Of equal times and ids the content decides, so that it does not matter how rows were read; null ids count as least.
     full = F.when(F.col("status") == 200, F.struct("at", "record_id", "_content", "_row"))
-    by_bin = Window.partitionBy("url").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
-    carried = binned.groupBy("url", "_bin").agg(F.max(full).alias("_last")).select(
-        "url", "_bin", F.max("_last").over(by_bin).alias("_carried"))
-    earlier = Window.partitionBy("url", "_bin").orderBy("at").rangeBetween(Window.unboundedPreceding, -1)
+    by_cell = Window.partitionBy("url").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    carried = cells.groupBy("url", "_cell").agg(F.max(full).alias("_last")).select(
+        "url", "_cell", F.max("_last").over(by_cell).alias("_carried"))
+    earlier = Window.partitionBy("url", "_cell").orderBy("at").rangeBetween(Window.unboundedPreceding, -1)
     matched = (
-        binned.withColumn("_near", F.max(full).over(earlier)).where("status = 304").join(carried, ["url", "_bin"])
+        cells.withColumn("_near", F.max(full).over(earlier)).where("status = 304").join(carried, ["url", "_cell"])
         .select(F.col("_row").alias("_revisit"), F.coalesce("_near", "_carried").alias("_found"))
         .select("_revisit", F.col("_found.record_id").alias("response_id"), F.col("_found._row").alias("_response"))
     )

@@ -672,14 +672,17 @@ def test_revisits(spark):
     assert revisits.resolve(captures.limit(0)).count() == 0
 
 
-def test_revisits_in_many_bins(spark, monkeypatch):
-    """A hot URL over many time bins resolves as in one."""
+def test_revisits_in_many_cells(spark, monkeypatch):
+    """A hot URL over many cells resolves as in one, and no cell grows with it."""
     rng = random.Random(3)
     rows = [(i, "http://hot/" if i % 3 else f"http://h{i % 7}/", rng.randrange(500), 200 if rng.random() < .3 else 304) for i in range(900)]
     captures = spark.createDataFrame(rows, "record_id long, url string, s long, status int").select(
         "record_id", "url", F.timestamp_seconds("s").alias("ts"), "status",
         F.create_map(F.lit("etag"), F.lit("e")).alias("headers"), F.lit("d").alias("digest"))
-    monkeypatch.setattr(revisits, "BIN_ROWS", 40)
+    monkeypatch.setattr(revisits, "CELL_ROWS", 40)
+    cells = revisits._in_cells(captures.select("url", F.unix_micros("ts").alias("at"))).groupBy("url", "_cell").count()
+    hot = cells.where("url = 'http://hot/'").agg(F.count("*"), F.max("count")).first()
+    assert hot[0] >= 10 and hot[1] <= 120
     got = {r.record_id: r.response_id for r in revisits.resolve(captures).collect()}
     for i, url, at, status in rows:
         if status == 304:
