@@ -77,38 +77,57 @@ def _numbered(fp: Column, side: int) -> Column:
 
 
 def _matched(a: Column, b: Column) -> Column:
-    """Positions in ``b`` of the anchors of both, in the order of ``a``; the nth of equal hashes matches the nth."""
-    return _let(F.sort_array(F.concat(_numbered(a, 0), _numbered(b, 1))), lambda u: F.transform(
-        F.sort_array(F.filter(
-            F.transform(F.sequence(F.lit(0), F.size(u) - 2), lambda i: F.when(
-                (u[i]["hash"] == u[i + 1]["hash"]) & (u[i]["nth"] == u[i + 1]["nth"]),
-                F.struct(u[i]["position"].alias("in_a"), u[i + 1]["position"].alias("in_b")))),
-            lambda m: m.isNotNull())),
-        lambda m: m["in_b"]))
-
-
-def _below(tails: Column, x: Column) -> Column:
-    """How many of the rising ``tails`` are below ``x``, by binary search."""
+    """Ranks in ``b`` of the anchors of both, in the order of ``a``; the nth of equal hashes matches the nth."""
+    pairs = _let(F.sort_array(F.concat(_numbered(a, 0), _numbered(b, 1))), lambda u: F.filter(
+        F.transform(F.sequence(F.lit(0), F.size(u) - 2), lambda i: F.when(
+            (u[i]["hash"] == u[i + 1]["hash"]) & (u[i]["nth"] == u[i + 1]["nth"]),
+            F.struct(u[i + 1]["position"].alias("in_b"), u[i]["position"].alias("in_a")))),
+        lambda m: m.isNotNull()))
+    ranked = F.transform(F.sort_array(pairs), lambda m, rank: F.struct(m["in_a"].alias("in_a"), rank.alias("rank")))
+    return F.transform(F.sort_array(ranked), lambda m: m["rank"])
+
+
+def _runs(ranks: Column) -> Column:
+    """The stretches of ranks that follow each other: array<struct<first:int, length:int>>.
+
+    Matches of a stretch have no other match between them on either side, so a longest rise that holds one holds all.
+    """
+    return F.when(F.size(ranks) == 0, F.array().cast("array<struct<first:int,length:int>>")).otherwise(_let(
+        F.filter(F.transform(F.sequence(F.lit(0), F.size(ranks)), lambda i: F.when(
+            (i == 0) | (i == F.size(ranks)), i).when(ranks[i] != ranks[i - 1] + 1, i)), lambda i: i.isNotNull()),
+        lambda starts: F.transform(F.sequence(F.lit(0), F.size(starts) - 2), lambda j: F.struct(
+            ranks[starts[j]].alias("first"), (starts[j + 1] - starts[j]).alias("length")))))
+
+
+def _below(stairs: Column, x: Column) -> Column:
+    """How many of the rising ``stairs`` have a rank below ``x``, by binary search."""
     def halved(r: Column, _: Column) -> Column:
         middle = F.shiftright(r["low"] + r["high"], 1)
         return F.when(r["low"] >= r["high"], r).when(
-            tails[middle] < x, F.struct((middle + 1).alias("low"), r["high"].alias("high"))
+            stairs[middle]["rank"] < x, F.struct((middle + 1).alias("low"), r["high"].alias("high"))
         ).otherwise(F.struct(r["low"].alias("low"), middle.alias("high")))
 
     return F.aggregate(
-        F.sequence(F.lit(1), F.ceil(F.log2(F.size(tails) + 1)).cast("int")),
-        F.struct(F.lit(0).alias("low"), F.size(tails).alias("high")), halved, lambda r: r["low"])
+        F.sequence(F.lit(1), F.ceil(F.log2(F.size(stairs) + 1)).cast("int")),
+        F.struct(F.lit(0).alias("low"), F.size(stairs).alias("high")), halved, lambda r: r["low"])
+
 
+def _longest_rise(ranks: Column) -> Column:
+    """Length of the longest rising subsequence of distinct ranks.
 
-def _longest_rise(values: Column) -> Column:
-    """Length of the longest rising subsequence."""
-    def put(tails: Column, x: Column) -> Column:
-        return F.when(F.size(tails) == 0, F.array(x)).when(
-            F.element_at(tails, -1) < x, F.concat(tails, F.array(x))
-        ).otherwise(_let(_below(tails, x), lambda n: F.concat(
-            F.slice(tails, F.lit(1), n), F.array(x), F.slice(tails, n + 2, F.size(tails)))))
+    Goes by runs, so a near copy costs steps for its edits, not for its length. ``stairs`` holds the best rises so far,
+    by the rank they end at; each is longer than those before it.
+    """
+    def put(stairs: Column, run: Column) -> Column:
+        return _let(F.when(F.size(stairs) == 0, F.lit(0)).otherwise(_below(stairs, run["first"])), lambda n: _let(
+            run["length"] + F.when(n == 0, F.lit(0)).otherwise(F.element_at(stairs, n)["best"]),
+            lambda best: F.concat(
+                F.slice(stairs, F.lit(1), n), F.array(F.struct(run["first"].alias("rank"), best.alias("best"))),
+                F.filter(F.slice(stairs, n + 1, F.size(stairs)), lambda s: s["best"] > best))))
 
-    return F.aggregate(values, F.array().cast("array<int>"), put, lambda tails: F.size(tails))
+    return F.aggregate(
+        _let(ranks, _runs), F.array().cast("array<struct<rank:int,best:int>>"), put,
+        lambda stairs: F.when(F.size(stairs) == 0, F.lit(0)).otherwise(F.element_at(stairs, -1)["best"]))
 
 
 def _same_head(a: Column, b: Column) -> Column:
@@ -124,8 +143,8 @@ def _in_order(a: Column, b: Column) -> Column:
         return F.transform(x, lambda y: y["hash"])
 
     def only(x: Column, common: Column) -> Column:
-        # A saving alone: anchors of other hashes match nothing.
-        return F.when(F.size(common) * 8 < F.size(x), F.filter(
+        # A saving alone, taken where the search of a short list is cheaper than a sort: anchors of other hashes match nothing.
+        return F.when((F.size(common) <= 64) & (F.size(common) * 8 < F.size(x)), F.filter(
             x, lambda y: F.array_contains(common, y["hash"]))).otherwise(x)
 
     return _let(F.array_intersect(hashes(a), hashes(b)), lambda common: F.when(F.size(common) == 0, F.lit(0)).otherwise(

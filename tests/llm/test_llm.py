@@ -4,6 +4,7 @@ import bisect
 import hashlib
 import math
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -642,6 +643,41 @@ def test_permutation(spark):
         assert sorted(r.p for r in rows) == list(range(n)) and all(r.back == r.id for r in rows)
 
 
+def test_longest_rise_equals_plain_patience(spark):
+    rng = random.Random(12)
+    orders = [[]]
+    for _ in range(200):
+        order = list(range(rng.randrange(1, 40)))
+        for _ in range(rng.randrange(4)):
+            i, j, k = sorted(rng.randrange(len(order) + 1) for _ in range(3))
+            order = order[:i] + order[j:k] + order[i:j] + order[k:]
+        if rng.random() < .3:
+            rng.shuffle(order)
+        orders.append(order)
+    rows = spark.createDataFrame(list(enumerate(orders)), "i int, ranks array<int>")
+    for r in rows.select("i", syncmers._longest_rise(F.col("ranks")).alias("n")).collect():
+        tails = []
+        for x in orders[r.i]:
+            at = bisect.bisect_left(tails, x)
+            tails[at:at + 1] = [x]
+        assert r.n == len(tails)
+
+
+def test_long_near_copies_cost_steps_for_their_edits(spark):
+    """80 000 words with another first line, and with moved halves and 800 edits: quadratic work would take minutes."""
+    rng = random.Random(13)
+    base = [f"w{rng.randrange(50_000)}" for _ in range(80_000)]
+    edited = [w if i % 100 else f"edit{i}" for i, w in enumerate(base)]
+    texts = [base, [f"x{i}" for i in range(8)] + base[8:], edited[20_000:] + edited[:20_000]]
+    docs = spark.createDataFrame([(" ".join(texts[0]), " ".join(t)) for t in texts[1:]], "a string, b string")
+    started = time.monotonic()
+    got = [r[0] for r in docs.select(
+        syncmers.fingerprint(F.col("a")).alias("a"), syncmers.fingerprint(F.col("b")).alias("b")
+    ).select(syncmers.likeness(F.col("a"), F.col("b"))).collect()]
+    assert time.monotonic() - started < 60
+    assert got[0] > 0.999 and 0.5 < got[1] < 0.6
+
+
 # ---- 8: revisits -----------------------------------------------------------------------------------
 
 
