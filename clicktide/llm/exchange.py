@@ -35,11 +35,11 @@ REPLIES = "shard int, block int, reply binary"
 COUNTED = "shard int, keys binary, counts binary"
 
 
-def written(df: DataFrame, purpose: str) -> DataFrame:
+def written(df: DataFrame, purpose: str, compression: str | None = None) -> DataFrame:
     """The frame as a table in the shared folder: lineage ends there and later jobs read it back."""
     spark = df.sparkSession
     path = new_work_dir(spark, purpose)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -34,24 +34,46 @@ PLACE_TERMS = 4
 QUERY_TERMS = 24
 NEIGHBOURS = 64
 END_ID = 0
+# Token ids are written twice; the second table, read once, is kept small.
+COMPRESSION = "zstd"
+# Numbers of documents and tokens are counted under these, beside the terms.
+DOCUMENTS, TOKENS = -1, -2
 PIECES = """doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long,
     sequence_length long"""
 
 
-ENCODED = "doc_id long, _wide boolean, _ids binary"
+ENCODED = "doc_id long, _wide boolean, _ids binary, _counts binary"
 
 
 def _encoded(path: str) -> Callable:
+    """The documents' ids and, as one more row of every task, how many of its documents hold each term."""
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = encoder(path).ids
+        df, n, tokens = np.zeros(0, np.int64), 0, 0
+        place = df
         for batch in batches:
             blobs = [np.append(ids_of(t), np.uint32(END_ID)) for t in batch["_text"].to_pylist()]
+            for ids in blobs:
+                n, tokens = n + 1, tokens + len(ids)
+                if (most := int(ids.max())) >= len(df):
+                    df = np.concatenate([df, np.zeros(most + 1 - len(df), np.int64)])
+                    place = np.zeros(len(df), np.int64)
+                # Each term once, without a sort: where its last place was noted.
+                places = np.arange(len(ids))
+                place[ids] = places
+                df[ids[place[ids] == places]] += 1
+            # Two bytes an id where the vocabulary allows it, for the shuffle.
+            wide = [bool(len(b) and b.max() > 0xFFFF) for b in blobs]
             yield pa.record_batch({
-                "doc_id": batch["doc_id"],
-                # Two bytes an id where the vocabulary allows it, for the shuffle.
-                "_wide": pa.array([bool(len(b) and b.max() > 0xFFFF) for b in blobs]),
-                "_ids": pa.array([b.astype("<u4" if b.max() > 0xFFFF else "<u2").tobytes() for b in blobs], pa.binary()),
+                "doc_id": batch["doc_id"], "_wide": pa.array(wide, pa.bool_()),
+                "_ids": pa.array([b.astype("<u4" if w else "<u2").tobytes() for b, w in zip(blobs, wide)], pa.binary()),
+                "_counts": pa.nulls(len(blobs), pa.binary()),
             })
+        held = np.flatnonzero(df)
+        counts = np.concatenate([[DOCUMENTS, n, TOKENS, tokens], np.stack([held, df[held]], 1).ravel()]).astype(np.int64)
+        yield pa.record_batch({
+            "doc_id": pa.nulls(1, pa.int64()), "_wide": pa.nulls(1, pa.bool_()), "_ids": pa.nulls(1, pa.binary()),
+            "_counts": pa.array([counts.tobytes()], pa.binary())})
 
     return encode
 
@@ -62,58 +84,52 @@ def _ids_of(batch: pa.RecordBatch) -> list[np.ndarray]:
 
 
 class Corpus:
-    """Number of documents, their mean length, and for each term the number of documents that hold it."""
+    """Numbers of documents and tokens, and for each term the number of documents that hold it and its idf."""
 
     def __init__(self, n: int, tokens: int, df: np.ndarray) -> None:
-        self.n, self.mean, self.df = n, tokens / max(1, n), df
-
-    def idf(self, terms: np.ndarray) -> np.ndarray:
-        return np.log1p((self.n - self.df[terms] + 0.5) / (self.df[terms] + 0.5))
+        self.n, self.tokens, self.mean, self.df = n, tokens, tokens / max(1, n), df
+        self.idf = np.log1p((n - df + 0.5) / (df + 0.5))
 
     def weights(self, terms: np.ndarray, tf: np.ndarray, length: object) -> np.ndarray:
         """BM25 weight of terms that occur ``tf`` times in documents of a length."""
-        return self.idf(terms) * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / self.mean))
+        return self.idf[terms] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / self.mean))
 
 
-def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A task's number of documents per term; documents under -1, tokens under -2."""
-    df, n, tokens = np.zeros(0, np.int64), 0, 0
+def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for ids in _ids_of(batch):
-            n, tokens = n + 1, tokens + len(ids)
-            terms = np.unique(ids)
-            if terms[-1] >= len(df):
-                df = np.concatenate([df, np.zeros(int(terms[-1]) + 1 - len(df), np.int64)])
-            df[terms] += 1
-    held = np.flatnonzero(df)
-    yield pa.record_batch({
-        "term": np.concatenate([[-1, -2], held]).astype(np.int64), "n": np.concatenate([[n, tokens], df[held]]).astype(np.int64)})
+        for packed in batch["_counts"].to_pylist():
+            counts = np.frombuffer(packed, np.int64).reshape(-1, 2)
+            yield pa.record_batch({"term": counts[:, 0].copy(), "n": counts[:, 1].copy()})
 
 
 def corpus_of(encoded: DataFrame) -> Corpus:
     """Counted over all documents; at most one row per token of the vocabulary comes back."""
-    rows = encoded.select("_ids", "_wide").mapInArrow(_document_counts, "term long, n long").groupBy("term").agg(
-        F.sum("n").alias("n")).toPandas()
+    rows = encoded.select("_counts").where("_counts IS NOT NULL").mapInArrow(_term_counts, "term long, n long").groupBy(
+        "term").agg(F.sum("n").alias("n")).toPandas()
     found = dict(zip(rows["term"].tolist(), rows["n"].tolist()))
-    n, tokens = found.pop(-1, 0), found.pop(-2, 0)
+    n, tokens = found.pop(DOCUMENTS, 0), found.pop(TOKENS, 0)
     df = np.zeros(max(found, default=0) + 1, np.int64)
     df[list(found)] = list(found.values())
     return Corpus(n, tokens, df)
 
 
-def telling(ids: np.ndarray, corpus: Corpus) -> np.ndarray:
-    """The document's terms that others hold too, by falling BM25 weight, then by number."""
+def telling(ids: np.ndarray, corpus: Corpus, most: int) -> np.ndarray:
+    """The document's ``most`` best terms that others hold too, by falling BM25 weight, then by number."""
     terms, tf = np.unique(ids, return_counts=True)
     shared = corpus.df[terms] > 1
     terms, tf = terms[shared], tf[shared]
-    return terms[np.lexsort((terms, -corpus.weights(terms, tf, len(ids))))]
+    weights = corpus.weights(terms, tf, len(ids))
+    if len(terms) > most:
+        best = np.flatnonzero(weights >= np.partition(weights, -most)[-most])
+        terms, weights = terms[best], weights[best]
+    return terms[np.lexsort((terms, -weights))][:most]
 
 
 def _placed(corpus: Corpus) -> Callable:
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             # Rare terms first: those of like documents agree most often.
-            firsts = [telling(ids, corpus)[:PLACE_TERMS] for ids in _ids_of(batch)]
+            firsts = [telling(ids, corpus, PLACE_TERMS) for ids in _ids_of(batch)]
             places = [t[np.lexsort((t, corpus.df[t]))].astype(">u4").tobytes() for t in firsts]
             yield pa.record_batch({
                 "_place": pa.array(places, pa.binary()), **{c: batch[c] for c in ("doc_id", "_wide", "_ids")}})
@@ -277,11 +293,14 @@ def pack_documents(
     encoded = written(
         docs.select("doc_id", F.coalesce("text", F.lit("")).alias("_text")).mapInArrow(_encoded(path), ENCODED), "encoded")
     corpus = corpus_of(encoded)
-    size = encoded.agg(F.sum(F.octet_length("_ids"))).first()[0] or 0
-    n = min(MOST_PARTITIONS, max(1, math.ceil(size / shard_bytes)))
-    # The ids' hash last: copies of a document may fill several shards.
+    n = min(MOST_PARTITIONS, max(1, math.ceil(2 * corpus.tokens / shard_bytes)))
+    # The ids' hash last: copies of a document may fill several shards. Places are written, so that the search for range
+    # borders reads these columns alone.
     order = ["_place", "doc_id", "_hash"]
-    placed = encoded.mapInArrow(_placed(corpus), f"_place binary, {ENCODED}").withColumn("_hash", F.xxhash64("_ids"))
+    placed = written(
+        encoded.where("_ids IS NOT NULL").select("doc_id", "_wide", "_ids").mapInArrow(
+            _placed(corpus), "_place binary, doc_id long, _wide boolean, _ids binary"
+        ).withColumn("_hash", F.xxhash64("_ids")), "placed", COMPRESSION)
     dealt = placed.coalesce(1) if n == 1 else placed.repartitionByRange(n, *order)
     return dealt.sortWithinPartitions(*order).select("doc_id", "_wide", "_ids").mapInArrow(
         _packer(window, with_ids, shard_bytes, corpus), PIECES + (", ids binary" if with_ids else ""))
