@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from clicktide.operators.skew import HOT_MIN_ROWS, HOT_SHARE, salt_all, split_hot_groups
 
-# A dimension is broadcast up to this measured size.
-BROADCAST_LIMIT = 256 * 1024 * 1024
+# A dimension is broadcast up to this measured size. A broadcast goes through the driver, once per micro-batch.
+BROADCAST_LIMIT = 16 * 1024 * 1024
 # Cells per product when a streaming side meets a dimension of unknown or large size.
 STREAM_SALTS = 8
 
@@ -36,7 +36,8 @@ def lookup_join(
 
     The dimension is broadcast only when its size is known to be within ``broadcast_limit``:
     ``products_bytes`` when the caller has measured it, else, for batch events, measured here. Beyond
-    the limit both sides are shuffled, with the rows of hot products dealt over several tasks. Streaming
+    the limit both sides are shuffled, whatever size Spark's own estimate (that of compressed files) has, with the rows
+    of hot products dealt over several tasks. Streaming
     events meet a dimension that is read anew for each micro-batch and may grow, so without
     ``products_bytes`` nothing is broadcast by force and every product's rows are dealt.
     """
@@ -59,5 +60,5 @@ def lookup_join(
             events, dimension, ["product_id"], ["_product_key"], events.columns, dimension.columns,
             share=hot_share, min_rows=hot_min_rows,
         )
-        joined = left.join(right, same_product if same_cell is None else same_product & same_cell, "inner")
+        joined = left.join(right.hint("merge"), same_product if same_cell is None else same_product & same_cell, "inner")
     return joined.select(*events.columns, "product_name", "product_description", "product_price")

@@ -119,6 +119,21 @@ def test_only_a_dimension_within_the_limit_is_broadcast(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def _many_products(spark):
+    return spark.range(200_000).select(
+        F.col("id").cast("string").alias("product_id"), F.lit("a product's name").alias("product_name"),
+        F.lit("brand type").alias("description"), F.lit("$1.00").alias("price"))
+
+
+def test_a_dimension_goes_through_the_driver_up_to_a_few_megabytes(spark):
+    """Each micro-batch broadcasts it anew, so what all of them send adds up."""
+    events = frame(spark, "clicks", [click("c", "u", 0, "7"), click("none", "u", 0, "x")])
+    assert 16 << 20 < measured_bytes(_many_products(spark)) < 32 << 20
+    joined = lookup_join(events, _many_products(spark))
+    assert "Broadcast" not in _plan(joined)
+    assert rows(joined.select("click_id", "product_name")) == Counter([("c", "a product's name")])
+
+
 def test_hot_product_is_dealt_over_cells_without_changing_the_join(spark):
     events = frame(spark, "clicks", [click(f"c{i}", "u", i, f"p{1 + (i % 3 == 0)}", i) for i in range(300)])
     dimension = products(spark, *[("p2", f"copy {i}", "", "") for i in range(40)])
