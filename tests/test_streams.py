@@ -206,6 +206,20 @@ def test_enrichment_sees_new_products_and_keeps_old_rows(replay):
     assert rows(table.select("click_id", "product_name")) == Counter([("c1", "one"), ("c3", "two"), ("c4", "renamed")])
 
 
+def test_a_micro_batch_broadcasts_no_dimension_beyond_the_limit(replay, spark):
+    """The files of a copy are small, so Spark's own estimate would have it broadcast in every micro-batch."""
+    spark.range(200_000).select(
+        F.col("id").cast("string").alias("product_id"), F.lit("a product's name").alias("product_name"),
+        F.lit("brand type").alias("description"), F.lit("$1.00").alias("price"),
+    ).coalesce(1).write.parquet(replay.config.dimension_path)
+    replay.add("clicks", click("c1", "u", 0, "7"), click("c2", "u", 0, "x"))
+    batch = read_events(spark, "clicks", "files", path=replay.config.event_paths["clicks"], stream=False)
+    with enrich.dimension_copies(spark, replay.config).reading() as (products, size):
+        joined = enrich.build(batch, products, schemas.ENRICHED_CLICKS, size)
+        assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
+        assert rows(joined.select("click_id", "product_name")) == Counter([("c1", "a product's name")])
+
+
 def test_lookup_join_of_a_stream_with_a_static_dimension(replay, spark):
     replay.products(("p1", "one", "d", "$1"), ("p1", "one again", "d", "$1"))
     replay.add("clicks", click("c1", "u", 0, "p1"), click("c2", "u", 0, "p2"))
