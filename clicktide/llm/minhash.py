@@ -34,7 +34,7 @@ LEAST_EQUAL = int(T * (PERCENT / 100 - 5 * (0.75 * 0.25 / T) ** 0.5))
 # Sets of a bucket that one task compares with as many others.
 TILE = 1024
 MEMBERS_PER_HUB = 64
-# Rows of (document, group), 32 bytes each, that may be broadcast; joined by shuffle beyond.
+# Keys of texts to confirm that may be broadcast; joined by shuffle beyond.
 BROADCAST_ROWS = 1_500_000
 SKETCHED = "doc_id long, row_id long, n_shingles long, node long, bands array<long>, sketch binary"
 
@@ -163,13 +163,13 @@ def confirmed(pairs: DataFrame, texts: DataFrame, ids: DataFrame, repeated: bool
 def _with_texts(needed: DataFrame, texts: DataFrame, ids: DataFrame, repeated: bool) -> DataFrame:
     """Rows (gid, node, ...), each with one text of the node: that of its smallest row_id."""
     needed = written(needed.join(ids, "node").withColumnRenamed("rep", "_rep"), "to-confirm")
-    once = texts.select("row_id", "_text")
+    # Texts that nobody asks for, most of them, are left out before the shuffle.
+    wanted = small(needed.select("_rep").distinct(), BROADCAST_ROWS)
+    once = texts.select("row_id", "_text").join(wanted, F.col("row_id") == F.col("_rep"), "left_semi")
     if repeated:
-        wanted = small(needed.select("_rep").distinct(), BROADCAST_ROWS)
-        once = once.join(wanted, F.col("row_id") == F.col("_rep"), "left_semi").groupBy("row_id").agg(
-            F.first("_text").alias("_text"))
-    # Rows of ``needed`` may hold a tile's partners, so their number says nothing of their size: Spark weighs them.
-    return once.join(needed, F.col("row_id") == F.col("_rep")).drop("row_id", "_rep")
+        once = once.groupBy("row_id").agg(F.first("_text").alias("_text"))
+    # Rows of ``needed`` may hold a tile's partners, so their number says nothing of their size: always by shuffle.
+    return once.join(needed.hint("merge"), F.col("row_id") == F.col("_rep")).drop("row_id", "_rep")
 
 
 def components(links: DataFrame) -> DataFrame:

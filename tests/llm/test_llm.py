@@ -4,6 +4,7 @@ import bisect
 import hashlib
 import math
 import random
+import re
 import time
 import zlib
 from collections import Counter, defaultdict
@@ -457,6 +458,21 @@ def test_one_text_arrives_for_each_set_to_confirm(spark, monkeypatch):
     assert len(got) == len(rows) and len({r.component for r in got}) == 80
 
 
+def test_only_texts_to_confirm_are_shuffled(spark):
+    """Whatever their number: others are left out before the join, and the join has one form at all sizes."""
+    texts = spark.range(1000).select(
+        F.col("id").alias("row_id"), F.concat(F.lit("text "), F.col("id").cast("string")).cast("binary").alias("_text"))
+    ids = spark.range(1000).select((F.col("id") + 5000).alias("node"), F.col("id").alias("rep"))
+    needed = spark.createDataFrame([(1, 5003), (1, 5004), (2, 5003)], "gid long, node long")
+    for repeated in (False, True):
+        found = minhash._with_texts(needed, texts, ids, repeated)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert re.search("BroadcastHashJoin.* LeftSemi", plan) and re.search("SortMergeJoin.* Inner", plan)
+        assert plan.count("BroadcastHashJoin") == 1
+        got = Counter((r.gid, r.node, bytes(r._text)) for r in found.collect())
+        assert got == Counter([(1, 5003, b"text 3"), (1, 5004, b"text 4"), (2, 5003, b"text 3")])
+
+
 # ---- 5: fingerprints -------------------------------------------------------------------------------
 
 
