@@ -53,17 +53,19 @@ def _encoded(path: str) -> Callable:
         place = df
         for batch in batches:
             blobs = [np.append(ids_of(t), np.uint32(END_ID)) for t in batch["_text"].to_pylist()]
+            wide = []
             for ids in blobs:
                 n, tokens = n + 1, tokens + len(ids)
-                if (most := int(ids.max())) >= len(df):
+                most = int(ids.max())
+                # Two bytes an id where the vocabulary allows it, for the shuffle.
+                wide.append(most > 0xFFFF)
+                if most >= len(df):
                     df = np.concatenate([df, np.zeros(most + 1 - len(df), np.int64)])
                     place = np.zeros(len(df), np.int64)
                 # Each term once, without a sort: where its last place was noted.
-                places = np.arange(len(ids))
-                place[ids] = places
-                df[ids[place[ids] == places]] += 1
-            # Two bytes an id where the vocabulary allows it, for the shuffle.
-            wide = [bool(len(b) and b.max() > 0xFFFF) for b in blobs]
+                terms, places = ids.astype(np.intp), np.arange(len(ids))
+                place[terms] = places
+                df[terms[place[terms] == places]] += 1
             yield pa.record_batch({
                 "doc_id": batch["doc_id"], "_wide": pa.array(wide, pa.bool_()),
                 "_ids": pa.array([b.astype("<u4" if w else "<u2").tobytes() for b, w in zip(blobs, wide)], pa.binary()),
@@ -150,19 +152,22 @@ class Index:
         self.terms, first, here = np.unique(self.term, return_index=True, return_counts=True)
         self.first = np.append(first, len(pairs))
         self.weight = corpus.weights(self.term, tf, lengths[self.doc])
-        # Each document's terms by falling weight; terms that no other document of the shard holds find nobody.
-        number = np.repeat(np.arange(len(self.terms)), here)
+        # Each document's terms, by number; terms that no other document of the shard holds find nobody.
+        self.number = np.repeat(np.arange(len(self.terms)), here)
         shared = np.flatnonzero(np.repeat(here, here) > 1)
-        order = shared[np.lexsort((number[shared], -self.weight[shared], self.doc[shared]))]
-        self.of_doc = number[order]
-        self.bounds = np.searchsorted(self.doc[order], np.arange(n + 1))
+        owners = self.doc[shared]
+        # Two-byte numbers are sorted by radix.
+        self.of_doc = shared[np.argsort(owners.astype(np.uint16) if n <= 1 << 16 else owners, kind="stable")]
+        self.bounds = np.searchsorted(self.doc[self.of_doc], np.arange(n + 1))
         self.n = n
 
     def neighbours(self, seed: int, used: np.ndarray) -> np.ndarray:
         """Unused documents by falling score, then by number."""
-        query = self.of_doc[self.bounds[seed]:min(self.bounds[seed + 1], self.bounds[seed] + QUERY_TERMS)]
-        if not len(query):
-            return query
+        own = self.of_doc[self.bounds[seed]:self.bounds[seed + 1]]
+        if not len(own):
+            return own
+        # By falling weight, then by number; only seeds are asked about.
+        query = self.number[own[np.argsort(-self.weight[own], kind="stable")[:QUERY_TERMS]]]
         spans = [slice(self.first[t], self.first[t + 1]) for t in query]
         scores = np.bincount(
             np.concatenate([self.doc[s] for s in spans]), np.concatenate([self.weight[s] for s in spans]), self.n)

@@ -78,6 +78,47 @@ def test_encoder_equals_tokenizer():
         assert list(zip(*(s.tolist() for s in coder.spans(text)))) == want.offsets
 
 
+def test_plain_texts_are_cut_by_one_group_to_the_same_ids():
+    """The pattern's parts are not tried one by one before its look-ahead, and texts give the ids of the pattern as it is."""
+    import public_tokenizers
+    import tiktoken
+
+    coder = tokens.encoder(tokens.vocabulary_path())
+    assert tokens.grouped(public_tokenizers.PATTERN).startswith("(?:'s|")
+    assert coder.fast._pat_str == tokens.grouped(public_tokenizers.PATTERN)
+    assert tokens.grouped("a|b") == "(?:a|b)"
+    plain = tiktoken.Encoding(
+        "plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks=coder.fast._mergeable_ranks, special_tokens={})
+    letters = [chr(c) for c in [*b"\t\n\r", *range(32, 127), *range(0xa1, 0x250)]]
+    rng = random.Random(8)
+    for k in range(4000):
+        text = "".join(rng.choice(letters if k % 2 else " \n\t\r'sdlabé1²._") for _ in range(rng.randrange(40)))
+        assert coder._plain(text)
+        assert coder.ids(text).tolist() == plain.encode_ordinary(text)
+
+
+def test_packing_asks_with_the_heaviest_terms_of_a_seed(spark):
+    """Terms are put in order for seeds alone, by falling weight and then by number, as one sort of all of them would."""
+    rng = np.random.default_rng(9)
+    docs = [np.append(rng.zipf(1.3, rng.integers(0, 200)) % 500, 0).astype("<u4") for _ in range(60)]
+    df = np.bincount(np.concatenate([np.unique(d) for d in docs]), minlength=500)
+    corpus = packing.Corpus(60, sum(map(len, docs)), df)
+    index = packing.Index(docs, corpus)
+    assert (np.diff(index.doc[index.of_doc]) >= 0).all() and index.of_doc.max() < len(index.doc)
+    for seed, ids in enumerate(docs):
+        terms, tf = np.unique(ids, return_counts=True)
+        weights = corpus.weights(terms, tf, len(ids))
+        asked = [t for _, t in sorted((-w, t) for w, t in zip(weights, terms) if df[t] > 1)][:packing.QUERY_TERMS]
+        scores = np.zeros(60)
+        for t in asked:
+            held = index.term == t
+            scores[index.doc[held]] += index.weight[held]
+        found = index.neighbours(seed, np.zeros(60, bool))
+        assert set(found) <= set(np.flatnonzero(scores))
+        assert len(found) == np.count_nonzero(scores)
+        assert scores[found] == pytest.approx(-np.sort(-scores[found]))
+
+
 @pytest.mark.parametrize("shard_bytes", [packing.SHARD_BYTES, 20_000])
 def test_packing_is_whole_and_full(hostile, nothing, shard_bytes):
     pieces = packing.pack_documents(hostile, with_ids=True, shard_bytes=shard_bytes).collect()
